@@ -49,7 +49,8 @@ def latest_rows(usable: DataFrame) -> DataFrame:
 
     Spark keeps one row per key and task before the shuffle (window group limit).
     """
-    newest = Window.partitionBy("source", "type", "uid").orderBy(
+    # The user id comes first: sorting compares most rows by that number alone.
+    newest = Window.partitionBy("uid", "type", "source").orderBy(
         *(F.col(name).desc() for name in _RECORD)
     )
     ranked = usable.withColumn("row_number", F.row_number().over(newest))

@@ -85,25 +85,20 @@ def recent_signup_marks(signups: DataFrame, params: MonthParams) -> DataFrame:
     )
 
 
-def _also_next_month(keys: DataFrame, now: Column, later: int) -> DataFrame:
-    """Each row twice: marked ``now`` in its month and ``later`` in the following one."""
-    here = F.struct(F.col("month"), now.alias("mark"))
-    there = F.struct(F.add_months("month", 1).alias("month"), _bit(later).alias("mark"))
-    return keys.select("uid", F.inline(F.array(here, there)))
-
-
 def visit_marks_all(visits: DataFrame) -> DataFrame:
-    """Marks for every month: a visit counts in its month and as 'before' in the next."""
-    kept = visits.where(F.col("month").isNotNull())
-    return _also_next_month(kept, _visit_mask(), ACTIVE_BEFORE)
+    """Marks of the visits of every month."""
+    return visits.where(F.col("month").isNotNull()).select(
+        "uid", "month", _visit_mask().alias("mark")
+    )
 
 
 def signup_marks_all(signups: DataFrame, time_zone: str) -> DataFrame:
-    """Marks for every month of the believed registrations."""
-    kept = signups.where(F.col("created_at") < CREATED_AT_BOUND).select(
-        F.col("id").alias("uid"), month_of_millis(F.col("created_at"), time_zone).alias("month")
+    """Marks of the believed registrations of every month."""
+    return signups.where(F.col("created_at") < CREATED_AT_BOUND).select(
+        F.col("id").alias("uid"),
+        month_of_millis(F.col("created_at"), time_zone).alias("month"),
+        _bit(SIGNED_UP).alias("mark"),
     )
-    return _also_next_month(kept, _bit(SIGNED_UP), SIGNED_UP_BEFORE)
 
 
 def first_signup_marks(signups: DataFrame, time_zone: str) -> DataFrame:
@@ -129,15 +124,41 @@ def merge_marks(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).groupBy(*keys).agg(F.bit_or("mark").alias("marks"))
 
 
+def mark_month_before(users: DataFrame) -> DataFrame:
+    """Marks per month and user, with what the user did in the month before added.
+
+    Each row is repeated in the following month, with its bits moved to the 'before' bits.
+    """
+    moved = [
+        F.when(F.col("marks").bitwiseAND(_bit(now)) != 0, _bit(then)).otherwise(_bit(0))
+        for now, then in ((ACTIVE, ACTIVE_BEFORE), (SIGNED_UP, SIGNED_UP_BEFORE))
+    ]
+    here = F.struct("month", F.col("marks").alias("mark"))
+    there = F.struct(
+        F.add_months("month", 1).alias("month"), moved[0].bitwiseOR(moved[1]).alias("mark")
+    )
+    return merge_marks([users.select("uid", F.inline(F.array(here, there)))], ["month", "uid"])
+
+
+def _known_marks() -> Column:
+    """A user's marks; none for rows without a user id, which never count."""
+    return F.when(F.col("uid").isNotNull(), F.col("marks")).otherwise(_bit(0))
+
+
 def has(mask: int) -> Column:
-    """The user has at least one of the mask's bits. Rows without a user id never count."""
-    return F.col("uid").isNotNull() & (F.col("marks").bitwiseAND(_bit(mask)) != 0)
+    """The user has at least one of the mask's bits."""
+    return _known_marks().bitwiseAND(_bit(mask)) != 0
 
 
 def count_users(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def count_visitors(day: int) -> Column:
+    """Users with a visit on that day of the month; NULL over no rows."""
+    return F.sum(F.shiftright(_known_marks(), day).bitwiseAND(_bit(1)))
+
+
 def active_not_signed_up() -> Column:
     """Active users whose id is not among the month's registrations, as ``NOT IN`` counts them.
 

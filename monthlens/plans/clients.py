@@ -27,7 +27,8 @@ def latest_client(installs: DataFrame, params: MonthParams) -> DataFrame:
 
 def client_ranks(installs: DataFrame, params: MonthParams) -> DataFrame:
     """Rank and dense rank of every install by time."""
-    return rank_installs(usable_installs(installs, params))
+    ranked = rank_installs(usable_installs(installs, params))
+    return ranked.select("source", "type", "uid", "download_time", "rnk", "dense_rnk")
 
 
 def _platform_columns(prefix: str, version: Column, record: str, params: MonthParams):
@@ -41,7 +42,7 @@ def _platform_columns(prefix: str, version: Column, record: str, params: MonthPa
 
 def client_by_source(installs: DataFrame, params: MonthParams) -> DataFrame:
     """Per source and user, the newest Android and iPhone install side by side."""
-    latest = usable_installs(installs, params).groupBy("source", "uid").agg(
+    latest = usable_installs(installs, params).groupBy("uid", "source").agg(
         *(newest(F.col("type") == code).alias(name) for name, code in _PLATFORMS.items())
     )
     columns = [

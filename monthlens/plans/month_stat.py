@@ -44,8 +44,7 @@ def _counts(registered: int) -> list[Column]:
         count(has(m.SIGNED_UP_BEFORE)),
     ]
     named = [column.alias(name) for column, name in zip(totals, _TOTALS)]
-    daily = [count(has(1 << day)).alias(f"day_{day}") for day in _DAYS]
-    return named + [F.array(*daily).alias("dau")]
+    return named + [F.array(*(m.count_visitors(day) for day in _DAYS)).alias("dau")]
 
 
 def _days(counted: DataFrame) -> DataFrame:
@@ -100,7 +99,7 @@ def month_user_stat_all(
         ],
         ["month", "uid"],
     )
-    counted = users.groupBy("month").agg(*_counts(m.FIRST_SIGN_UP))
+    counted = m.mark_month_before(users).groupBy("month").agg(*_counts(m.FIRST_SIGN_UP))
     days = with_rest_flag(_days(counted), rest_dates(rest_days, params))
     by_month = days.groupBy("month").agg(*_means())
     # One row per calendar month is left here, so one task can add them up.

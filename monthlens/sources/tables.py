@@ -30,6 +30,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str, partition: str) -> DataFrame:
+    """A table whose columns are not declared, with its partition value kept as text."""
+    found = spark.read.parquet(path).schema
+    schema = T.StructType([field for field in found if field.name != partition])
+    return read_table(spark, path, schema.add(partition, T.StringType()))
+
+
 def valid_ids(df: DataFrame, name: str, params: MonthParams) -> DataFrame:
     return df.where(F.col(name).between(params.min_uid, params.max_uid))
 
