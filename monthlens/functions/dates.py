@@ -45,22 +45,23 @@ def up_to_month(df: DataFrame, name: str, last: date) -> Column:
 def day_of(df: DataFrame, name: str) -> Column:
     """The calendar day; NULL where a text is no date."""
     if is_text(df, name):
-        return F.substring(name, 1, 10).try_cast("date")
-    return F.col(name).cast("date")
+        return F.expr(f"try_cast(substring({name}, 1, 10) as date)")
+    return F.expr(f"cast({name} as date)")
 
 
 def month_of(df: DataFrame, name: str) -> Column:
     """First day of the month; a text needs only its first seven characters."""
     if is_text(df, name):
-        return F.concat(F.substring(name, 1, 7), F.lit("-01")).try_cast("date")
-    return F.trunc(F.col(name).cast("date"), "MM")
+        return F.expr(f"try_cast(concat(substring({name}, 1, 7), '-01') as date)")
+    return F.expr(f"trunc(cast({name} as date), 'MM')")
 
 
-def month_of_millis(millis: Column, time_zone: str) -> Column:
+def month_of_millis(name: str, time_zone: str) -> Column:
     """First day of the month in ``time_zone``, whatever the session's zone is."""
-    utc = F.timestamp_add("MILLISECOND", millis, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
-    local = utc if time_zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc)
-    return F.trunc(local.cast("date"), "MM")
+    time = f"timestampadd(millisecond, {name}, timestamp_ntz'1970-01-01 00:00:00')"
+    if time_zone != "UTC":
+        time = f"convert_timezone('UTC', '{time_zone}', {time})"
+    return F.expr(f"trunc(cast({time} as date), 'MM')")
 
 
 def second_text(name: str) -> Column:

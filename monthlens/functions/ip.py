@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_QUAD = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+_QUAD = r"^[0-9]{1,3}([.][0-9]{1,3}){3}$"
 
 
-def ip_number(address: Column) -> Column:
-    """Dotted text to a number in [0, 2**32); NULL for anything else."""
-    parts = F.split(F.when(address.rlike(_QUAD), address), r"\.")
-    octets = [parts[i].cast("bigint") for i in range(4)]
-    value = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
-    return F.when(F.greatest(*octets) <= 255, value)
+def ip_number(name: str) -> Column:
+    """The dotted text in a column as a number in [0, 2**32); NULL for anything else."""
+    part = [f"cast(split_part({name}, '.', {n}) as bigint)" for n in range(1, 5)]
+    value = f"{part[0]} * 16777216 + {part[1]} * 65536 + {part[2]} * 256 + {part[3]}"
+    return F.expr(
+        f"case when {name} rlike '{_QUAD}' and greatest({', '.join(part)}) <= 255 then {value} end"
+    )
 
 
-def ip_text(number: Column) -> Column:
-    """Number to dotted text."""
-    octets = [F.shiftright(number, shift).bitwiseAND(F.lit(255)) for shift in (24, 16, 8, 0)]
-    return F.concat_ws(".", *(octet.cast("string") for octet in octets))
+def ip_text(number: str) -> Column:
+    """A number expression as dotted text."""
+    parts = ", ".join(f"cast(shiftright({number}, {n}) & 255 as string)" for n in (24, 16, 8, 0))
+    return F.expr(f"concat_ws('.', {parts})")

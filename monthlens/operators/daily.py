@@ -22,15 +22,14 @@ def trading_days(days: DataFrame, rest: DataFrame) -> DataFrame:
 
 def other_days(days: DataFrame, rest: DataFrame) -> DataFrame:
     """Rest dates, Saturdays and Sundays."""
-    marked = with_rest_flag(days, rest)
-    return marked.where(F.col("is_rest") | ~is_weekday(F.col("day")))
+    marked = with_rest_date(days, rest)
+    return marked.where(F.col("rest_date").isNotNull() | ~is_weekday(F.col("day")))
 
 
-def with_rest_flag(days: DataFrame, rest: DataFrame) -> DataFrame:
-    flagged = F.broadcast(rest.withColumn("is_rest", F.lit(True)))
-    return days.join(flagged, "day", "left").withColumn(
-        "is_rest", F.coalesce("is_rest", F.lit(False))
-    )
+def with_rest_date(days: DataFrame, rest: DataFrame) -> DataFrame:
+    """``rest_date`` is the day itself on a rest date and NULL on others."""
+    dates = F.broadcast(rest.select(F.col("day").alias("rest_date")))
+    return days.join(dates, F.col("day") == F.col("rest_date"), "left")
 
 
 def whole_mean(value: Column) -> Column:

@@ -9,57 +9,53 @@ range check, no matter how uneven the blocks are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-_WIDE = 1 << 16
 WIDE_LIMIT = 1 << 16  # whole /16 networks there are
 BROADCAST_ROWS = 2_000_000
 
 
-def _cut(lo: Column, hi: Column) -> tuple[Column, Column]:
-    """First and last whole /16 network inside the block; last < first if there is none."""
-    return F.shiftright(lo + (_WIDE - 1), 16), F.shiftright(hi + 1, 16) - 1
+def _cut(blocks: DataFrame) -> DataFrame:
+    """Each block's whole /16 networks, ``first`` to ``last``, and what lies on both sides.
 
-
-def wide_blocks(blocks: DataFrame) -> DataFrame:
-    """``wide``, ``wide_cc``: the /16 networks that lie in one block entirely."""
-    first, last = _cut(F.col("lo"), F.col("hi"))
-    cut = blocks.select("cc", first.alias("first"), last.alias("last"))
-    return cut.where(F.col("first") <= F.col("last")).select(
-        F.explode(F.sequence("first", "last")).alias("wide"), F.col("cc").alias("wide_cc")
+    The sides are ``lo`` to ``head_hi`` and ``tail_lo`` to ``hi``; without a whole network
+    the head is all of the block.
+    """
+    return blocks.selectExpr(
+        "cc", "lo", "hi", "shiftright(lo + 65535L, 16) as first", "shiftright(hi + 1L, 16) - 1 as last"
+    ).selectExpr(
+        "*",
+        "if(first <= last, first * 65536L - 1, hi) as head_hi",
+        "if(first <= last, (last + 1) * 65536L, hi + 1) as tail_lo",
     )
 
 
-def _edges(blocks: DataFrame) -> DataFrame:
-    """The parts of each block outside its whole /16 networks."""
-    first, last = _cut(F.col("lo"), F.col("hi"))
-    cut = blocks.select("cc", "lo", "hi", first.alias("first"), last.alias("last"))
-    none = F.col("first") > F.col("last")
-    head_end = F.when(none, F.col("hi")).otherwise(F.col("first") * _WIDE - 1)
-    tail_start = F.when(~none, (F.col("last") + 1) * _WIDE)
-    parts = F.array(
-        F.struct(F.col("lo").alias("lo"), head_end.alias("hi")),
-        F.struct(tail_start.alias("lo"), F.col("hi").alias("hi")),
+def wide_blocks(blocks: DataFrame) -> DataFrame:
+    """``wide``, ``wide_cc``: the /16 networks that lie in one block entirely."""
+    return _cut(blocks).where("first <= last").selectExpr(
+        "explode(sequence(first, last)) as wide", "cc as wide_cc"
     )
-    return cut.select("cc", F.inline(parts)).where(F.col("lo") <= F.col("hi"))
 
 
 def narrow_blocks(blocks: DataFrame) -> DataFrame:
     """``narrow``, ``lo``, ``hi``, ``narrow_cc``: the remaining parts, one row per /24 network."""
-    networks = F.sequence(F.shiftright("lo", 8), F.shiftright("hi", 8))
-    return _edges(blocks).select(
-        F.explode(networks).alias("narrow"), "lo", "hi", F.col("cc").alias("narrow_cc")
+    sides = _cut(blocks).selectExpr(
+        "cc as narrow_cc",
+        "inline(array(struct(lo, head_hi as hi), struct(tail_lo as lo, hi)))",
+    )
+    return sides.where("lo <= hi").selectExpr(
+        "explode(sequence(shiftright(lo, 8), shiftright(hi, 8))) as narrow", "lo", "hi", "narrow_cc"
     )
 
 
 def lookup_sizes(blocks: DataFrame) -> tuple[int, int]:
     """Rows of the two lookup tables, added up without building them."""
-    first, last = _cut(F.col("lo"), F.col("hi"))
-    wide = blocks.agg(F.sum(F.greatest(last - first + 1, F.lit(0))).alias("n"))
-    narrow = _edges(blocks).agg(
-        F.sum(F.shiftright("hi", 8) - F.shiftright("lo", 8) + 1).alias("n")
+    wide, head, tail = (
+        f"sum(if({lo} <= {hi}, shiftright({hi}, {bits}) - shiftright({lo}, {bits}) + 1, 0))"
+        for lo, hi, bits in (("first", "last", 0), ("lo", "head_hi", 8), ("tail_lo", "hi", 8))
     )
-    return tuple(df.first()["n"] or 0 for df in (wide, narrow))
+    row = _cut(blocks).selectExpr(f"{wide} as wide", f"{head} + {tail} as narrow").first()
+    return row.wide or 0, row.narrow or 0
 
 
 def with_country(
@@ -83,11 +79,8 @@ def with_country(
 
 
 def _probe(df: DataFrame, blocks: DataFrame, address: str, narrow: DataFrame) -> DataFrame:
-    value = F.col(address)
     wide = F.broadcast(wide_blocks(blocks))
-    found = df.join(wide, F.shiftright(value, 16) == F.col("wide"), "left").join(
-        narrow,
-        (F.shiftright(value, 8) == F.col("narrow")) & value.between(F.col("lo"), F.col("hi")),
-        "left",
-    )
-    return found.withColumn("cc", F.coalesce("wide_cc", "narrow_cc")).select(*df.columns, "cc")
+    in_wide = F.expr(f"shiftright({address}, 16) = wide")
+    in_narrow = F.expr(f"shiftright({address}, 8) = narrow and {address} between lo and hi")
+    found = df.join(wide, in_wide, "left").join(narrow, in_narrow, "left")
+    return found.selectExpr(*df.columns, "coalesce(wide_cc, narrow_cc) as cc")

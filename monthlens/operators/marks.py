@@ -27,101 +27,87 @@ FIRST_SIGN_UP = 1 << 36  # the month of the user's earliest registration
 # Fixed value: registrations at or after this epoch millisecond are not believed.
 CREATED_AT_BOUND = 2434028380862
 
-
-def _bit(mask: int) -> Column:
-    return F.lit(mask).cast("bigint")
-
-
-def _visit_mask() -> Column:
-    day_bit = F.call_function("shiftleft", _bit(1), F.dayofmonth("day"))
-    return _bit(ACTIVE).bitwiseOR(F.coalesce(day_bit, _bit(0)))
+_VISIT_MASK = f"{ACTIVE}L | coalesce(shiftleft(1L, dayofmonth(day)), 0L)"
 
 
 def visit_marks(visits: DataFrame, params: MonthParams) -> DataFrame:
     """Marks of the visits in the reported month and the one before it."""
-    mask = F.when(F.col("month") == F.lit(params.start), _visit_mask()).when(
-        F.col("month") == F.lit(params.previous), _bit(ACTIVE_BEFORE)
+    return visits.selectExpr(
+        "uid",
+        f"case month when date'{params.start}' then {_VISIT_MASK} "
+        f"when date'{params.previous}' then {ACTIVE_BEFORE}L end as mark",
     )
-    return visits.select("uid", mask.alias("mark"))
 
 
-def _created_in(params: MonthParams, start, end) -> Column:
-    created = F.col("created_at")
-    return (
-        (created < CREATED_AT_BOUND)
-        & (created >= params.millis(start))
-        & (created < params.millis(end))
-    )
-
-
-def registered_by_month_end(signups: DataFrame, params: MonthParams) -> Column:
+def registered_by_month_end(signups: DataFrame, params: MonthParams) -> str:
     """In the snapshot up to the month's partition, or created before the month ended."""
     if "ds" in signups.columns:
-        return F.substring("ds", 1, 7) <= params.label
-    return F.col("created_at") < params.millis(params.following)
+        return f"substring(ds, 1, 7) <= '{params.label}'"
+    return f"created_at < {params.millis(params.following)}"
+
+
+def _created_in(params: MonthParams, start, end) -> str:
+    first, last = params.millis(start), min(params.millis(end), CREATED_AT_BOUND)
+    return f"(created_at >= {first} and created_at < {last})"
 
 
 def signup_marks(signups: DataFrame, params: MonthParams) -> DataFrame:
     """Marks of all registrations up to the end of the reported month."""
-    tests = [
-        (registered_by_month_end(signups, params), REGISTERED),
-        (_created_in(params, params.start, params.following), SIGNED_UP),
-        (_created_in(params, params.previous, params.start), SIGNED_UP_BEFORE),
-    ]
-    mask = reduce(
-        Column.bitwiseOR,
-        [F.when(test, _bit(bit)).otherwise(_bit(0)) for test, bit in tests],
-    )
-    wanted = reduce(Column.__or__, [test for test, _ in tests])
-    return signups.where(wanted).select(F.col("id").alias("uid"), mask.alias("mark"))
+    tests = {
+        REGISTERED: registered_by_month_end(signups, params),
+        SIGNED_UP: _created_in(params, params.start, params.following),
+        SIGNED_UP_BEFORE: _created_in(params, params.previous, params.start),
+    }
+    mask = " | ".join(f"if({test}, {bit}L, 0L)" for bit, test in tests.items())
+    return signups.where(" or ".join(tests.values())).selectExpr("id as uid", f"{mask} as mark")
 
 
 def recent_signup_marks(signups: DataFrame, params: MonthParams) -> DataFrame:
     """Marks of the registrations in the reported month and the one before it."""
-    recent = _created_in(params, params.previous, params.following)
-    mask = F.when(F.col("created_at") >= params.millis(params.start), _bit(SIGNED_UP))
-    return signups.where(recent).select(
-        F.col("id").alias("uid"), mask.otherwise(_bit(SIGNED_UP_BEFORE)).alias("mark")
+    return signups.where(_created_in(params, params.previous, params.following)).selectExpr(
+        "id as uid",
+        f"if(created_at >= {params.millis(params.start)}, {SIGNED_UP}L, {SIGNED_UP_BEFORE}L)"
+        " as mark",
     )
 
 
 def visit_marks_all(visits: DataFrame) -> DataFrame:
     """Marks of the visits of every month."""
-    return visits.where(F.col("month").isNotNull()).select(
-        "uid", "month", _visit_mask().alias("mark")
-    )
+    return visits.where("month is not null").selectExpr("uid", "month", f"{_VISIT_MASK} as mark")
 
 
 def signup_marks_all(signups: DataFrame, time_zone: str) -> DataFrame:
     """Marks of the believed registrations of every month."""
-    return signups.where(F.col("created_at") < CREATED_AT_BOUND).select(
+    return signups.where(f"created_at < {CREATED_AT_BOUND}").select(
         F.col("id").alias("uid"),
-        month_of_millis(F.col("created_at"), time_zone).alias("month"),
-        _bit(SIGNED_UP).alias("mark"),
+        month_of_millis("created_at", time_zone).alias("month"),
+        F.expr(f"{SIGNED_UP}L as mark"),
     )
 
 
 def first_signup_marks(signups: DataFrame, time_zone: str) -> DataFrame:
     """One mark per user in the month of the earliest registration."""
     if "ds" in signups.columns:
-        dated = signups.select(
-            F.col("id").alias("uid"),
-            F.concat(F.substring("ds", 1, 7), F.lit("-01")).cast("date").alias("month"),
-        )
-        first = dated.groupBy("uid").agg(F.min("month").alias("month"))
+        first = signups.groupBy(F.col("id").alias("uid")).agg(F.expr("min(ds) as first"))
+        month = F.expr("cast(concat(substring(first, 1, 7), '-01') as date)")
     else:
-        first = signups.groupBy(F.col("id").alias("uid")).agg(F.min("created_at").alias("created_at"))
-        first = first.select(
-            "uid", month_of_millis(F.col("created_at"), time_zone).alias("month")
-        )
-    return first.where(F.col("month").isNotNull()).select(
-        "uid", "month", _bit(FIRST_SIGN_UP).alias("mark")
+        first = signups.groupBy(F.col("id").alias("uid")).agg(F.expr("min(created_at) as first"))
+        month = month_of_millis("first", time_zone)
+    return first.where("first is not null").select(
+        "uid", month.alias("month"), F.expr(f"{FIRST_SIGN_UP}L as mark")
     )
 
 
 def merge_marks(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """All marks of a key or-ed together: one shuffle, one row per key and task."""
-    return reduce(DataFrame.unionByName, frames).groupBy(*keys).agg(F.bit_or("mark").alias("marks"))
+    """All marks of a key or-ed together: one shuffle, one row per key and task.
+
+    ``known`` holds the marks again, but none where the user id is missing: such rows
+    count in no figure.
+    """
+    merged = reduce(DataFrame.unionByName, frames).groupBy(*keys).agg(
+        F.expr("bit_or(mark) as marks")
+    )
+    return merged.selectExpr(*keys, "marks", "if(uid is not null, marks, 0L) as known")
 
 
 def mark_month_before(users: DataFrame) -> DataFrame:
@@ -129,42 +115,35 @@ def mark_month_before(users: DataFrame) -> DataFrame:
 
     Each row is repeated in the following month, with its bits moved to the 'before' bits.
     """
-    moved = [
-        F.when(F.col("marks").bitwiseAND(_bit(now)) != 0, _bit(then)).otherwise(_bit(0))
-        for now, then in ((ACTIVE, ACTIVE_BEFORE), (SIGNED_UP, SIGNED_UP_BEFORE))
-    ]
-    here = F.struct("month", F.col("marks").alias("mark"))
-    there = F.struct(
-        F.add_months("month", 1).alias("month"), moved[0].bitwiseOR(moved[1]).alias("mark")
+    moved = (
+        f"if(marks & {ACTIVE}L != 0, {ACTIVE_BEFORE}L, 0L)"
+        f" | if(marks & {SIGNED_UP}L != 0, {SIGNED_UP_BEFORE}L, 0L)"
     )
-    return merge_marks([users.select("uid", F.inline(F.array(here, there)))], ["month", "uid"])
-
-
-def _known_marks() -> Column:
-    """A user's marks; none for rows without a user id, which never count."""
-    return F.when(F.col("uid").isNotNull(), F.col("marks")).otherwise(_bit(0))
-
-
-def has(mask: int) -> Column:
-    """The user has at least one of the mask's bits."""
-    return _known_marks().bitwiseAND(_bit(mask)) != 0
+    both = users.selectExpr(
+        "uid",
+        "inline(array(struct(month, marks as mark),"
+        f" struct(add_months(month, 1) as month, {moved} as mark)))",
+    )
+    return merge_marks([both], ["month", "uid"])
 
 
-def count_users(condition: Column) -> Column:
-    return F.count_if(condition)
+def count_users(name: str, bits: int, without: int = 0) -> Column:
+    """Users with all of ``bits`` and none of ``without``."""
+    return F.expr(f"count_if(known & {bits | without}L = {bits}L) as {name}")
 
 
-def count_visitors(day: int) -> Column:
-    """Users with a visit on that day of the month; NULL over no rows."""
-    return F.sum(F.shiftright(_known_marks(), day).bitwiseAND(_bit(1)))
+def count_visitors_by_day(name: str) -> Column:
+    """Users per day of the month, as an array of 31; NULL over no rows."""
+    days = ", ".join(f"sum(shiftright(known, {day}) & 1L)" for day in range(1, 32))
+    return F.expr(f"array({days}) as {name}")
 
 
-def active_not_signed_up() -> Column:
+def count_not_signed_up(name: str) -> Column:
     """Active users whose id is not among the month's registrations, as ``NOT IN`` counts them.
 
     Under SQL's rules one registration without an id leaves nobody to count.
     """
-    unknown = F.count_if(F.col("uid").isNull() & (F.col("marks").bitwiseAND(_bit(SIGNED_UP)) != 0))
-    return F.when(unknown > 0, F.lit(0).cast("bigint")).otherwise(
-        count_users(has(ACTIVE) & ~has(SIGNED_UP))
+    return F.expr(
+        f"if(count_if(uid is null and marks & {SIGNED_UP}L != 0) > 0, 0L,"
+        f" count_if(known & {ACTIVE | SIGNED_UP}L = {ACTIVE}L)) as {name}"
     )

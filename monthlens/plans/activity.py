@@ -57,7 +57,7 @@ def mau_exclude_register(
         ],
         ["uid"],
     )
-    return _labelled(users, params, m.active_not_signed_up().alias("mau_exclude_register"))
+    return _labelled(users, params, m.count_not_signed_up("mau_exclude_register"))
 
 
 def mau_exclude_register_by_month(
@@ -68,8 +68,8 @@ def mau_exclude_register_by_month(
         [m.visit_marks_all(visits), m.signup_marks_all(signups, time_zone)], ["month", "uid"]
     )
     counted = users.groupBy("month").agg(
-        m.count_users(m.has(m.ACTIVE)).alias("mau"),
-        m.active_not_signed_up().alias("mau_exclude_register"),
+        m.count_users("mau", m.ACTIVE),
+        m.count_not_signed_up("mau_exclude_register"),
     )
     return counted.where(F.col("mau") > 0).select(
         month_text(F.col("month")).alias("month_time"), "mau_exclude_register"
@@ -100,8 +100,8 @@ def keep_ratio(visits: DataFrame, params: MonthParams) -> DataFrame:
     counted = _labelled(
         users,
         params,
-        m.count_users(m.has(m.ACTIVE_BEFORE) & m.has(m.ACTIVE)).alias("numerator"),
-        m.count_users(m.has(m.ACTIVE_BEFORE)).alias("denominator"),
+        m.count_users("numerator", m.ACTIVE_BEFORE | m.ACTIVE),
+        m.count_users("denominator", m.ACTIVE_BEFORE),
     )
     return counted.withColumn("keep_ratio", F.try_divide("numerator", "denominator"))
 
@@ -120,8 +120,8 @@ def new_user_keep_ratio(
     counted = _labelled(
         users,
         params,
-        m.count_users(m.has(m.SIGNED_UP_BEFORE) & m.has(m.ACTIVE)).alias("active_again"),
-        m.count_users(m.has(m.SIGNED_UP_BEFORE)).alias("register_number"),
+        m.count_users("active_again", m.SIGNED_UP_BEFORE | m.ACTIVE),
+        m.count_users("register_number", m.SIGNED_UP_BEFORE),
     )
     return counted.withColumn(
         "new_user_keep_ratio", F.try_divide("active_again", "register_number")

@@ -21,7 +21,7 @@ def user_snapshot_month(users: DataFrame, params: MonthParams) -> DataFrame:
 
 def ip_country(records: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every raw login with its address as a number and the country that holds it."""
-    numbered = records.select("userid", ip_number(F.col("loginip")).alias("ip_num"))
+    numbered = records.select("userid", ip_number("loginip").alias("ip_num"))
     return with_country(numbered, blocks)
 
 
@@ -38,7 +38,7 @@ def login_etl(records: DataFrame, blocks: DataFrame, params: MonthParams) -> Dat
         F.col("userid").alias("uid"),
         F.substring(time, 1, 7).alias("month_time"),
         F.substring(time, 1, 10).alias("day_time"),
-        ip_number(F.col("loginip")).alias("ip_num"),
+        ip_number("loginip").alias("ip_num"),
     )
     located = with_country(daily, blocks)
     return located.select(

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from monthlens.functions.dates import month_text
 from monthlens.operators import marks as m
-from monthlens.operators.daily import is_weekday, whole_mean, with_rest_flag
+from monthlens.operators.daily import is_weekday, whole_mean, with_rest_date
 from monthlens.params import MonthParams
 from monthlens.sources.tables import rest_dates
 
@@ -20,7 +19,6 @@ FIGURES = [
     "keep_ratio",
     "new_user_keep_ratio",
 ]
-_DAYS = range(1, 32)
 _TOTALS = [
     "register_number",
     "mau",
@@ -33,41 +31,41 @@ _TOTALS = [
 
 
 def _counts(registered: int) -> list[Column]:
-    has, count = m.has, m.count_users
-    totals = [
-        count(has(registered)),
-        count(has(m.ACTIVE)),
-        m.active_not_signed_up(),
-        count(has(m.ACTIVE_BEFORE) & has(m.ACTIVE)),
-        count(has(m.ACTIVE_BEFORE)),
-        count(has(m.SIGNED_UP_BEFORE) & has(m.ACTIVE)),
-        count(has(m.SIGNED_UP_BEFORE)),
+    return [
+        m.count_users("register_number", registered),
+        m.count_users("mau", m.ACTIVE),
+        m.count_not_signed_up("mau_exclude_register"),
+        m.count_users("kept", m.ACTIVE_BEFORE | m.ACTIVE),
+        m.count_users("active_before", m.ACTIVE_BEFORE),
+        m.count_users("kept_new", m.SIGNED_UP_BEFORE | m.ACTIVE),
+        m.count_users("new_before", m.SIGNED_UP_BEFORE),
+        m.count_visitors_by_day("dau"),
     ]
-    named = [column.alias(name) for column, name in zip(totals, _TOTALS)]
-    return named + [F.array(*(m.count_visitors(day) for day in _DAYS)).alias("dau")]
 
 
 def _days(counted: DataFrame) -> DataFrame:
-    """31 rows per month, one for each possible day."""
-    rows = counted.select("month", *_TOTALS, F.posexplode("dau").alias("offset", "dau"))
-    return rows.withColumn("day", F.date_add("month", F.col("offset")))
+    """31 rows per month, one for each possible day; ``dau`` is NULL where nobody came."""
+    rows = counted.selectExpr("month", *_TOTALS, "posexplode(dau) as (offset, users)")
+    return rows.selectExpr(
+        "month", *_TOTALS, "date_add(month, offset) as day", "nullif(users, 0) as dau"
+    )
 
 
 def _means() -> list[Column]:
     """The day means over days that had a visit, and the totals carried through."""
-    dau = F.when(F.col("dau") > 0, F.col("dau"))
-    trades = is_weekday(F.col("day")) & ~F.col("is_rest")
-    return [F.max(name).alias(name) for name in _TOTALS] + [
-        whole_mean(F.when(trades, dau)).alias("exchange_dau"),
-        whole_mean(F.when(~trades, dau)).alias("non_exchange_dau"),
+    trades = is_weekday(F.col("day")) & F.col("rest_date").isNull()
+    return [F.expr(f"max({name}) as {name}") for name in _TOTALS] + [
+        whole_mean(F.when(trades, F.col("dau"))).alias("exchange_dau"),
+        whole_mean(F.when(~trades, F.col("dau"))).alias("non_exchange_dau"),
     ]
 
 
-def _figures(df: DataFrame) -> DataFrame:
-    return (
-        df.withColumn("keep_ratio", F.try_divide("kept", "active_before"))
-        .withColumn("new_user_keep_ratio", F.try_divide("kept_new", "new_before"))
-        .select(*FIGURES)
+def _figures(df: DataFrame, month_time: str) -> DataFrame:
+    return df.selectExpr(
+        f"{month_time} as month_time",
+        *FIGURES[1:-2],
+        "try_divide(kept, active_before) as keep_ratio",
+        "try_divide(kept_new, new_before) as new_user_keep_ratio",
     )
 
 
@@ -81,10 +79,11 @@ def month_user_stat(
     users = m.merge_marks(
         [m.visit_marks(visits, params), m.signup_marks(signups, params)], ["uid"]
     )
-    counted = users.agg(*_counts(m.REGISTERED)).withColumn("month", F.lit(params.start))
+    month = F.expr(f"date'{params.start}' as month")
+    counted = users.agg(*_counts(m.REGISTERED), month)
     rest = rest_dates(rest_days, params, params.start, params.following)
-    days = with_rest_flag(_days(counted), rest)
-    return _figures(days.agg(*_means()).withColumn("month_time", F.lit(params.label)))
+    days = with_rest_date(_days(counted), rest)
+    return _figures(days.agg(*_means()), f"'{params.label}'")
 
 
 def month_user_stat_all(
@@ -100,14 +99,12 @@ def month_user_stat_all(
         ["month", "uid"],
     )
     counted = m.mark_month_before(users).groupBy("month").agg(*_counts(m.FIRST_SIGN_UP))
-    days = with_rest_flag(_days(counted), rest_dates(rest_days, params))
+    days = with_rest_date(_days(counted), rest_dates(rest_days, params))
     by_month = days.groupBy("month").agg(*_means())
     # One row per calendar month is left here, so one task can add them up.
     so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = by_month.withColumn("register_number", F.sum("register_number").over(so_far))
-    return _figures(
-        summed.where(F.col("mau") > 0).withColumn("month_time", month_text(F.col("month")))
-    )
+    return _figures(summed.where(F.col("mau") > 0), "date_format(month, 'yyyy-MM')")
 
 
 def active_user_stat(stat: DataFrame) -> DataFrame:

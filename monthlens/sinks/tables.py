@@ -6,19 +6,27 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from monthlens.sources.tables import read_table
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType()}
+
+
+def _columns(text: str) -> T.StructType:
+    pairs = (column.split() for column in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # The columns of the output tables.
-MONTH_USER_STAT = T.StructType.fromDDL(
+MONTH_USER_STAT = _columns(
     "month_time string, register_number bigint, mau bigint, mau_exclude_register bigint, "
     "exchange_dau bigint, non_exchange_dau bigint, keep_ratio double, new_user_keep_ratio double"
 )
-CLIENT_VERSION = T.StructType.fromDDL(
+CLIENT_VERSION = _columns(
     "uid bigint, android_version string, android_download_time string, android_channel string, "
     "iphone_version string, iphone_download_time string, iphone_channel string"
 )
-MONTH_CLIENT_VERSION = T.StructType.fromDDL(
+MONTH_CLIENT_VERSION = _columns(
     "mobile_type string, number bigint, total bigint, ratio double"
 )
-LOGIN_ETL = T.StructType.fromDDL("uid bigint, month_time string, day_time string, city string")
+LOGIN_ETL = _columns("uid bigint, month_time string, day_time string, city string")
 
 
 def by_month(schema: T.StructType) -> T.StructType:

@@ -6,11 +6,17 @@ registration, and an order's priority, status and price for an installed client.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from monthlens.functions.ip import ip_text
 from monthlens.sources.tables import ANDROID, CLIENT, DEVICE, IPHONE, read_table
 
+ORDERS = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string"
+)
+NATION = "n_nationkey int, n_name string"
+
 # Market holidays, two on weekdays and one on a Saturday, and one of another area.
 REST_DAYS = [
     ("CN", "1996-03-08"),
@@ -20,30 +26,25 @@ REST_DAYS = [
 ]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/orders.parquet", ORDERS)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw logins; the address is spread over all 2**32 by the order's key."""
-    key = F.pmod("o_orderkey", F.lit(2147483648))
-    address = F.pmod(key * F.lit(2654435761), F.lit(4294967296))
-    return _table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("userid"),
-        F.col("o_orderdate").alias("recordtime"),
-        ip_text(address).alias("loginip"),
-    )
+    address = "pmod(pmod(o_orderkey, 2147483648L) * 2654435761L, 4294967296L)"
+    return _orders(spark, sf_dir).selectExpr(
+        "o_custkey as userid", "o_orderdate as recordtime", f"{address} as address"
+    ).select("userid", "recordtime", ip_text("address").alias("loginip"))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw registrations in epoch milliseconds."""
-    first = (
-        _table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("id"))
-        .agg(F.min("o_orderdate").alias("first"))
+    return _orders(spark, sf_dir).selectExpr("o_custkey as id", "o_orderdate as first").groupBy(
+        "id"
+    ).agg({"first": "min"}).selectExpr(
+        "id", "datediff(cast(`min(first)` as date), date'1970-01-01') * 86400000L as created_at"
     )
-    days = F.datediff(F.col("first").cast("date"), F.lit("1970-01-01").cast("date"))
-    return first.select("id", (days.cast("bigint") * 86_400_000).alias("created_at"))
 
 
 def rest_days(spark: SparkSession) -> DataFrame:
@@ -53,26 +54,21 @@ def rest_days(spark: SparkSession) -> DataFrame:
 
 def installs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device and client installs in one frame."""
-    platform = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", ANDROID)
-        .when(F.col("o_orderpriority") == "2-HIGH", IPHONE)
-        .otherwise(0)
-    )
-    channel = F.concat(F.lit("ch"), F.pmod("o_orderkey", F.lit(3)).cast("string"))
-    in_client = F.col("o_orderstatus") == "O"
-    return _table(spark, sf_dir, "orders").select(
-        F.when(in_client, CLIENT).otherwise(DEVICE).alias("source"),
-        F.col("o_custkey").alias("user_id"),
-        platform.alias("type"),
-        F.floor(F.col("o_totalprice") / 50000).cast("string").alias("version"),
-        F.col("o_orderdate").alias("created_at"),
-        F.when(in_client, channel).alias("channel"),
+    return _orders(spark, sf_dir).selectExpr(
+        f"if(o_orderstatus = 'O', '{CLIENT}', '{DEVICE}') as source",
+        "o_custkey as user_id",
+        f"case o_orderpriority when '1-URGENT' then {ANDROID} when '2-HIGH' then {IPHONE} "
+        "else 0 end as type",
+        "cast(floor(o_totalprice / 50000) as string) as version",
+        "o_orderdate as created_at",
+        "if(o_orderstatus = 'O', concat('ch', cast(o_orderkey % 3 as string)), null) as channel",
     )
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 address blocks of equal size, one per nation."""
-    lo = F.col("n_nationkey").cast("bigint") * 171798692
-    return _table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("cc"), lo.alias("lo"), (lo + 171798691).alias("hi")
+    return read_table(spark, f"{sf_dir}/nation.parquet", NATION).selectExpr(
+        "n_name as cc",
+        "n_nationkey * 171798692L as lo",
+        "n_nationkey * 171798692L + 171798691L as hi",
     )

@@ -24,7 +24,9 @@ ANDROID = 1
 IPHONE = 2
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
     """A Parquet table. With a schema, a partition value such as 2024-01 stays text."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )

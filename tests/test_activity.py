@@ -144,8 +144,8 @@ def test_time_zone_moves_month_edges(spark):
     assert etl.user_snapshot_month(edge, shanghai).count() == 1
     assert etl.user_snapshot_month(edge, utc).count() == 0
     months = edge.select(
-        month_of_millis(F.col("created_at"), "Asia/Shanghai").alias("there"),
-        month_of_millis(F.col("created_at"), "UTC").alias("here"),
+        month_of_millis("created_at", "Asia/Shanghai").alias("there"),
+        month_of_millis("created_at", "UTC").alias("here"),
     ).first()
     assert (months.there, months.here) == (date(2024, 4, 1), date(2024, 3, 1))
 

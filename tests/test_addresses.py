@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import fixtures as fx
 from monthlens.functions.ip import ip_number, ip_text
@@ -74,10 +73,10 @@ def test_address_texts(spark):
         "": None,
     }
     frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
-    got = {r.t: r.n for r in frame.select("t", ip_number(F.col("t")).alias("n")).collect()}
+    got = {r.t: r.n for r in frame.select("t", ip_number("t").alias("n")).collect()}
     assert got == {**texts, None: None}
     numbers = spark.createDataFrame([(0,), (167838211,), (2**32 - 1,)], "n bigint")
-    back = [r[0] for r in numbers.select(ip_text(F.col("n"))).collect()]
+    back = [r[0] for r in numbers.select(ip_text("n")).collect()]
     assert back == ["0.0.0.0", "10.1.2.3", "255.255.255.255"]
 
 
