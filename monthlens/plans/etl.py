@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from monthlens.functions.dates import in_days
-from monthlens.functions.ip import ip_number
+from monthlens.functions.ip import with_ip_number
 from monthlens.operators.iplookup import with_country
 from monthlens.params import MonthParams
 from monthlens.sources.tables import valid_ids
@@ -21,7 +21,7 @@ def user_snapshot_month(users: DataFrame, params: MonthParams) -> DataFrame:
 
 def ip_country(records: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every raw login with its address as a number and the country that holds it."""
-    numbered = records.select("userid", ip_number("loginip").alias("ip_num"))
+    numbered = with_ip_number(records.select("userid", "loginip"), "loginip", "ip_num")
     return with_country(numbered, blocks)
 
 
@@ -38,9 +38,9 @@ def login_etl(records: DataFrame, blocks: DataFrame, params: MonthParams) -> Dat
         F.col("userid").alias("uid"),
         F.substring(time, 1, 7).alias("month_time"),
         F.substring(time, 1, 10).alias("day_time"),
-        ip_number("loginip").alias("ip_num"),
+        "loginip",
     )
-    located = with_country(daily, blocks)
+    located = with_country(with_ip_number(daily, "loginip", "ip_num"), blocks)
     return located.select(
         "uid", "month_time", "day_time", F.col("cc").alias("city")
     ).distinct()

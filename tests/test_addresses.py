@@ -5,7 +5,7 @@ import random
 import pytest
 
 import fixtures as fx
-from monthlens.functions.ip import ip_number, ip_text
+from monthlens.functions.ip import ip_text, with_ip_number
 from monthlens.operators import iplookup
 from monthlens.plans import etl
 
@@ -73,7 +73,8 @@ def test_address_texts(spark):
         "": None,
     }
     frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
-    got = {r.t: r.n for r in frame.select("t", ip_number("t").alias("n")).collect()}
+    copied = frame.selectExpr("t", "t as text")
+    got = {r.t: r.n for r in with_ip_number(copied, "text", "n").collect()}
     assert got == {**texts, None: None}
     numbers = spark.createDataFrame([(0,), (167838211,), (2**32 - 1,)], "n bigint")
     back = [r[0] for r in numbers.select(ip_text("n")).collect()]
