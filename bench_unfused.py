@@ -5,44 +5,43 @@ Each figure has its own subquery over the inputs; nothing is shared.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-import __spark_entry__ as entry
-from monthlens.operators.latest import usable_installs
-from monthlens.sources import sample
+from monthlens import MonthParams
+from monthlens.operators.latest import usable_installs, version_label
+from monthlens.operators.marks import CREATED_AT_BOUND
+from monthlens.sources.tables import rest_dates
 
 _STAT = """
-with days as (
-    select day, count(distinct uid) as dau from visits
-    where month = date'1996-03-01' group by day),
-rest as (select to_date(rest_date) as day from rest_days where exchange_area = 'CN')
-select '1996-03' as month_time, a.n as register_number, b.n as mau, c.n as mau_exclude_register,
+with now as (select uid from {visits} where month = date'%(start)s'),
+before as (select uid from {visits} where month = date'%(previous)s'),
+new as (select id from {signups} where created_at < %(bound)s
+        and created_at >= %(start_ms)s and created_at < %(end_ms)s),
+new_before as (select id from {signups} where created_at < %(bound)s
+        and created_at >= %(previous_ms)s and created_at < %(start_ms)s),
+days as (select day, count(distinct uid) as dau from {visits}
+        where month = date'%(start)s' and day is not null group by day)
+select '%(label)s' as month_time, a.n as register_number, b.n as mau, c.n as mau_exclude_register,
        cast(d.n as bigint) as exchange_dau, cast(e.n as bigint) as non_exchange_dau,
        try_divide(f.n, g.n) as keep_ratio, try_divide(h.n, i.n) as new_user_keep_ratio
-from (select count(distinct id) as n from signups where created_at < 828316800000) a,
-     (select count(distinct uid) as n from visits where month = date'1996-03-01') b,
-     (select count(distinct uid) as n from visits where month = date'1996-03-01'
-        and uid not in (select id from signups
-            where created_at >= 825638400000 and created_at < 828316800000)) c,
-     (select avg(dau) as n from days left join rest using (day)
-        where dayofweek(day) between 2 and 6 and rest.day is null) d,
-     (select avg(dau) as n from days left join rest using (day)
-        where dayofweek(day) not between 2 and 6 or rest.day is not null) e,
-     (select count(distinct uid) as n from visits where month = date'1996-02-01'
-        and uid in (select uid from visits where month = date'1996-03-01')) f,
-     (select count(distinct uid) as n from visits where month = date'1996-02-01') g,
-     (select count(distinct uid) as n from visits where month = date'1996-03-01'
-        and uid in (select id from signups
-            where created_at >= 823132800000 and created_at < 825638400000)) h,
-     (select count(distinct id) as n from signups
-        where created_at >= 823132800000 and created_at < 825638400000) i
+from (select count(distinct id) as n from {signups} where created_at < %(end_ms)s) a,
+     (select count(distinct uid) as n from now) b,
+     (select count(distinct uid) as n from now where uid not in (select id from new)) c,
+     (select avg(dau) as n from days left join {rest} r using (day)
+        where dayofweek(day) between 2 and 6 and r.day is null) d,
+     (select avg(dau) as n from days left join {rest} r using (day)
+        where dayofweek(day) not between 2 and 6 or r.day is not null) e,
+     (select count(distinct uid) as n from before where uid in (select uid from now)) f,
+     (select count(distinct uid) as n from before) g,
+     (select count(distinct uid) as n from now where uid in (select id from new_before)) h,
+     (select count(distinct id) as n from new_before) i
 """
 
 _CLIENTS = """
 with latest as (
     select * from (
         select *, row_number() over (partition by source, type, uid
-            order by download_time desc, version desc, channel desc) as n from installs)
+            order by download_time desc, version desc, channel desc) as n from {installs})
     where n = 1),
 sides as (
     select coalesce(a.source, i.source) as source, coalesce(a.uid, i.uid) as uid,
@@ -60,21 +59,23 @@ full join (select * from sides where source = 'device') d on c.uid = d.uid
 """
 
 
-def _month_user_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        _STAT.replace("from visits", "from {visits}")
-        .replace("from signups", "from {signups}")
-        .replace("from rest_days", "from {rest_days}"),
-        visits=entry._visits(spark, sf_dir),
-        signups=entry._signups(spark, sf_dir),
-        rest_days=sample.rest_days(spark),
-    )
+def month_user_stat(
+    visits: DataFrame, signups: DataFrame, rest_days: DataFrame, params: MonthParams
+) -> DataFrame:
+    values = {
+        "label": params.label,
+        "start": params.start,
+        "previous": params.previous,
+        "bound": CREATED_AT_BOUND,
+        "previous_ms": params.millis(params.previous),
+        "start_ms": params.millis(params.start),
+        "end_ms": params.millis(params.following),
+    }
+    rest = rest_dates(rest_days, params, params.start, params.following)
+    return visits.sparkSession.sql(_STAT % values, visits=visits, signups=signups, rest=rest)
 
 
-def _client_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable = usable_installs(sample.installs(spark, sf_dir), entry.CLIENT_MONTH)
-    return spark.sql(_CLIENTS.replace("from installs", "from {installs}"), installs=usable)
-
-
-def queries():
-    return {"month_user_stat": _month_user_stat, "client_version": _client_version}
+def client_version(installs: DataFrame, params: MonthParams) -> DataFrame:
+    usable = usable_installs(installs, params)
+    labelled = usable.withColumn("version", version_label(usable.type, usable.version, params))
+    return installs.sparkSession.sql(_CLIENTS, installs=labelled)

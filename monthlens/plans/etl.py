@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from monthlens.functions.dates import in_days
+from monthlens.functions.dates import in_days, is_text
 from monthlens.functions.ip import with_ip_number
 from monthlens.operators.iplookup import with_country
 from monthlens.params import MonthParams
@@ -33,14 +33,13 @@ def login_etl(records: DataFrame, blocks: DataFrame, params: MonthParams) -> Dat
     month = valid_ids(records, "userid", params).where(
         in_days(records, "recordtime", params.start, params.following)
     )
-    time = F.col("recordtime").cast("string")
-    daily = month.select(
-        F.col("userid").alias("uid"),
-        F.substring(time, 1, 7).alias("month_time"),
-        F.substring(time, 1, 10).alias("day_time"),
-        "loginip",
-    )
+    day = "substring(recordtime, 1, 10)" if is_text(records, "recordtime") else "date(recordtime)"
+    daily = month.selectExpr("userid as uid", f"{day} as day", "loginip")
     located = with_country(with_ip_number(daily, "loginip", "ip_num"), blocks)
-    return located.select(
-        "uid", "month_time", "day_time", F.col("cc").alias("city")
-    ).distinct()
+    # The texts are made after the shuffle, which then carries only what tells rows apart.
+    return located.select("uid", "day", "cc").distinct().selectExpr(
+        "uid",
+        "substring(cast(day as string), 1, 7) as month_time",
+        "cast(day as string) as day_time",
+        "cc as city",
+    )

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import bench
 
 DATA = Path("/root/testdata")
 QUERIES = entry.queries()
@@ -25,9 +26,8 @@ def _duck(sf_dir, sql):
 
 def _sorted(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(columns), sorted(
-        (tuple(row[i] for i in order) for row in rows), key=lambda row: [(v is None, v or 0) if not isinstance(v, str) else (False, v) for v in row]
-    )
+    rows = [tuple(row[i] for i in order) for row in rows]
+    return sorted(columns), sorted(rows, key=lambda row: [(v is None, 0 if v is None else v) for v in row])
 
 
 def test_every_query_has_sql():
@@ -48,3 +48,11 @@ def test_matches_duckdb(spark, name, sf):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1
+
+
+@pytest.mark.parametrize("name", sorted(bench.UNFUSED))
+def test_unfused_shape_gives_the_same(spark, name):
+    sf_dir = str(DATA / "sf0.01")
+    frames = [queries[name](spark, sf_dir) for queries in (QUERIES, bench.UNFUSED)]
+    fused, unfused = (_sorted(df.columns, df.collect()) for df in frames)
+    assert fused == unfused
