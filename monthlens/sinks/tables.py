@@ -61,12 +61,13 @@ def overwrite_month(
     """Replace one month of a table and leave the others alone; returns the rows written.
 
     Rows are counted while they are written. An empty result replaces nothing and is an error.
+    The month is added last, as a constant, so that Spark does not sort the rows by it.
     """
     rows = df if schema is None else conform(df, schema)
     counted = Observation()
     (
-        rows.withColumn(partition, F.lit(ds))
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+        .withColumn(partition, F.lit(ds))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
