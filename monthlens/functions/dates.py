@@ -10,6 +10,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from monthlens.params import month_start
+
+_FEW_MONTHS = 6
+
 
 def is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
@@ -38,8 +42,7 @@ def up_to_month(df: DataFrame, name: str, last: date) -> Column:
     if is_text(df, name):
         month = last.strftime("%Y-%m")
         return F.col(name) < F.lit(month[:-1] + chr(ord(month[-1]) + 1))
-    following = date(last.year + last.month // 12, last.month % 12 + 1, 1)
-    return F.col(name) < F.lit(following)
+    return F.col(name) < F.lit(month_start(last, 1))
 
 
 def day_of(df: DataFrame, name: str) -> Column:
@@ -49,13 +52,33 @@ def day_of(df: DataFrame, name: str) -> Column:
     return F.expr(f"cast({name} as date)")
 
 
-def month_of(df: DataFrame, name: str) -> Column:
-    """First day of the month; a text needs only its first seven characters."""
+def month_of(
+    df: DataFrame, name: str, start: date | None = None, end: date | None = None
+) -> Column:
+    """First day of the month; a text needs only its first seven characters.
+
+    Where the rows are known to lie in a few whole months, the column is compared with
+    the months' first days, which is cheaper than reading a date from a text.
+    """
+    months = _months(start, end)
+    if 0 < len(months) <= _FEW_MONTHS:
+        month = F.lit(months[0])
+        for first in months[1:]:
+            month = F.when(F.col(name) >= _bound(df, name, first), F.lit(first)).otherwise(month)
+        return month
     if is_text(df, name):
         return F.expr(f"try_cast(concat(substring({name}, 1, 7), '-01') as date)")
     return F.expr(f"trunc(cast({name} as date), 'MM')")
 
 
+def _months(start: date | None, end: date | None) -> list[date]:
+    """First days of the whole months from ``start`` up to ``end``."""
+    if start is None or end is None or start.day != 1 or end.day != 1:
+        return []
+    count = (end.year - start.year) * 12 + end.month - start.month
+    return [month_start(start, shift) for shift in range(count)]
+
+
 def month_of_millis(name: str, time_zone: str) -> Column:
     """First day of the month in ``time_zone``, whatever the session's zone is."""
     time = f"timestampadd(millisecond, {name}, timestamp_ntz'1970-01-01 00:00:00')"

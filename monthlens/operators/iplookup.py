@@ -22,7 +22,11 @@ def _cut(blocks: DataFrame) -> DataFrame:
     the head is all of the block.
     """
     return blocks.selectExpr(
-        "cc", "lo", "hi", "shiftright(lo + 65535L, 16) as first", "shiftright(hi + 1L, 16) - 1 as last"
+        "cc",
+        "lo",
+        "hi",
+        "shiftright(lo + 65535L, 16) as first",
+        "shiftright(hi + 1L, 16) - 1 as last",
     ).selectExpr(
         "*",
         "if(first <= last, first * 65536L - 1, hi) as head_hi",

@@ -53,7 +53,7 @@ def visits_from_records(
     kept = valid_ids(records, "userid", params).where(in_days(records, "recordtime", start, end))
     return kept.select(
         F.col("userid").alias("uid"),
-        month_of(records, "recordtime").alias("month"),
+        month_of(records, "recordtime", start, end).alias("month"),
         day_of(records, "recordtime").alias("day"),
     )
 
@@ -73,7 +73,9 @@ def visits_from_logins(
             F.col("month_time").between(start.strftime("%Y-%m"), last.strftime("%Y-%m"))
         )
     return kept.select(
-        "uid", month_of(logins, "day_time").alias("month"), day_of(logins, "day_time").alias("day")
+        "uid",
+        month_of(logins, "day_time", start, end).alias("month"),
+        day_of(logins, "day_time").alias("day"),
     )
 
 

@@ -94,7 +94,9 @@ def rest_days(spark: SparkSession, rows=REST_DAYS):
 
 
 def device_installs(spark: SparkSession, rows=DEVICE_INSTALLS):
-    return spark.createDataFrame(rows, "user_id bigint, type int, version string, created_at string")
+    return spark.createDataFrame(
+        rows, "user_id bigint, type int, version string, created_at string"
+    )
 
 
 def client_installs(spark: SparkSession, rows=CLIENT_INSTALLS):

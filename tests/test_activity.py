@@ -236,3 +236,22 @@ def test_trading_and_other_days_split_all_days(spark):
     rest = tables.rest_dates(rest_table, fx.MARCH)
     parts = trading_days(days, rest).select("day").union(other_days(days, rest).select("day"))
     assert sorted(r.day for r in parts.collect()) == sorted(r.day for r in days.collect())
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp_ntz", "timestamp", "date"])
+def test_months_of_texts_and_typed_columns(spark, kind):
+    from monthlens.functions.dates import in_days, month_of
+
+    texts = ["2023-12-31 23:59:59", "2024-01-01 00:00:00", "2024-02-29 12:00:00"]
+    texts += ["2024-03-31 23:59:59", "2024-04-01 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(
+        f"t as text, cast(t as {kind}) as t"
+    )
+    start, end = date(2024, 1, 1), date(2024, 4, 1)
+    kept = df.where(in_days(df, "t", start, end))
+    rows = kept.select(
+        "text", month_of(df, "t").alias("read"), month_of(df, "t", start, end).alias("compared")
+    ).collect()
+    assert [r.text for r in rows] == texts[1:4]
+    for r in rows:
+        assert r.read == r.compared == date.fromisoformat(r.text[:8] + "01")

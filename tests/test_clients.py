@@ -137,7 +137,8 @@ def test_shares_of_a_table_with_repeated_and_missing_users(spark):
         "uid bigint, android_version string, iphone_version string",
     )
     got = _rows(clients.month_client_version(table))
-    assert got == sorted([("ios", 1, 3, 1 / 3), ("android", 1, 3, 1 / 3), ("both", 0, 3, 0.0)], key=repr)
+    want = [("ios", 1, 3, 1 / 3), ("android", 1, 3, 1 / 3), ("both", 0, 3, 0.0)]
+    assert got == sorted(want, key=repr)
 
 
 def test_shares_of_an_empty_table(spark):

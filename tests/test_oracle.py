@@ -27,7 +27,8 @@ def _duck(sf_dir, sql):
 def _sorted(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     rows = [tuple(row[i] for i in order) for row in rows]
-    return sorted(columns), sorted(rows, key=lambda row: [(v is None, 0 if v is None else v) for v in row])
+    nulls_last = lambda row: [(v is None, 0 if v is None else v) for v in row]
+    return sorted(columns), sorted(rows, key=nulls_last)
 
 
 def test_every_query_has_sql():
