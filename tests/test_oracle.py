@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as entry
 import bench
+import duckdb_checks
 
 DATA = Path("/root/testdata")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = entry.reference_queries()
+ORACLE = duckdb_checks.statements()
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 
