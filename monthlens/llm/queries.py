@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlens.llm import chat, secret_scan
-from monthlens.llm.shared import table
+from monthlens.llm import chat, fingerprints, jaccard, packing, repeats, secret_scan
+from monthlens.llm.shared import ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(table(spark, sf_dir, "documents"))
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.sql(
         "select -1L conv_id, id turn, if(id = 0, 'user', 'assistant') role,"
@@ -21,12 +29,38 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.unionByName(added)))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.n_words())
+
+
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {"op6_chat_format": _op6, "op10_secret_scan": _op10}
+    return {name: _shipped(query) for name, query in _QUERIES.items()}
+
+
+_QUERIES: dict[str, Query] = {
+    "op2_suffix_array_dedup": _op2,
+    "op3_jaccard_join": _op3,
+    "op6_chat_format": _op6,
+    "op8_packing": _op8,
+    "op9_fingerprints": _op9,
+    "op10_secret_scan": _op10,
+}
 
 
 # Markers have 12, 10 and 10 characters; a block closes with a newline.
