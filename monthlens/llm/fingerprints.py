@@ -27,7 +27,7 @@ from monthlens.llm.rawtext import Rolling, mix, words
 from monthlens.llm.shared import stored, text_or_empty
 
 SAMPLES = 64
-_GROUP_BYTES = 2 << 20
+_GROUP_BYTES = 3 << 18
 _ROWS = 4096
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SAMPLE_KEYS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _STEP)
@@ -197,7 +197,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     ordered = (
         docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-        .repartitionByRange(F.col("doc_id").desc_nulls_last(), "text")
+        .repartitionByRange(F.col("doc_id").desc_nulls_last())
         .sortWithinPartitions(F.col("doc_id").desc_nulls_last(), "text")
     )
     schema = _RESULT + ", " + ", ".join(f"{name} {kind}" for name, kind in _EDGE)
