@@ -39,7 +39,7 @@ from monthlens.llm.shared import stored
 
 WINDOW = 100
 GRAM = 32
-CROWD = 2000
+CROWD = 250
 _GRAMS = WINDOW - GRAM + 1
 _PIECE = 1 << 19
 _INDEX_BITS = np.uint64(20)
@@ -125,7 +125,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     anchors = _texts(docs).where("doc_id is not null and octet_length(text) >= 100")
     anchors = anchors.mapInArrow(_anchors, _ANCHOR_SCHEMA)
     repeated = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    return anchors.join(repeated.select("gram"), "gram", "left_semi")
+    # written, so that both sides of the join are shuffled for it and a frequent anchor is split
+    return anchors.join(stored(repeated.select("gram")), "gram", "left_semi")
 
 
 _BYTES_SCHEMA = "gram long, doc_id long, start long, windows int, bytes binary"
