@@ -40,7 +40,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from monthlens.llm.rawtext import Rolling, flat, lower_ascii, mix, signed, slices, words
+from monthlens.llm.rawtext import (
+    PACKED,
+    Rolling,
+    flat,
+    lower_ascii,
+    mix,
+    pack,
+    signed,
+    slices,
+    unpacked,
+    words,
+)
 from monthlens.llm.shared import stored
 
 SHINGLE = 5
@@ -66,7 +77,7 @@ def least_shared(size):
 
 def _spare(size):
     """Shared shingles that the lists of step 1 show at least, if the smaller set has this size."""
-    return 1 + size // 32
+    return 1 + size // 16
 
 
 def shingle_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -114,24 +125,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        tokens, owners, lengths = [], [], []
-        for _, shingles in shingle_sets(batch):
+        ids = batch.column("doc_id").to_numpy()
+        tokens, rows, classes, lengths = [], [], [], []
+        for i, shingles in shingle_sets(batch):
             n = len(shingles)
             taken = shingles[: n - least_shared(n) + _spare(n)]
             tokens.append(taken)
-            owners.append(_class(shingles))
+            rows.append(i)
+            classes.append(_class(shingles))
             lengths.append(len(taken))
         if tokens:
             yield pa.record_batch(
                 {
                     "token": signed(np.concatenate(tokens)),
-                    "class": np.repeat(np.array(owners, np.int64), lengths),
+                    "class": np.repeat(np.array(classes, np.int64), lengths),
+                    "doc_id": np.repeat(ids[rows], lengths),
                 }
             )
 
 
 def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in map(unpacked, batches):
         ids = batch.column("doc_id").to_numpy()
         for part in slices(batch.append_column("row", pa.array(np.arange(batch.num_rows)))):
             rows = part.column("row").to_numpy()
@@ -154,31 +168,32 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Step 1: ``doc_id, text`` of the first document of each class that may link."""
-    listed = _texts(docs).mapInArrow(_listed, "token long, class long")
+    """Step 1: ``doc_id`` and packed text of the first document of each class that may link."""
+    listed = _texts(docs).mapInArrow(_listed, "token long, class long, doc_id long")
     shared = (
         listed.groupBy("token")
         .agg(F.min("class").alias("least"), F.max("class").alias("most"))
         .where("least < most")
         .select("token")
     )
-    hits = listed.join(shared, "token", "left_semi").groupBy("class").agg(F.count("*").alias("hits"))
+    hits = (
+        listed.select("token", "doc_id")
+        .join(shared, "token", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.count("*").alias("hits"))
+    )
     classes = (
         sets.where("class is not null and doc_id is not null")
         .groupBy("class")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.count("*").alias("copies"),
-            F.first("n_shingles").alias("n"),
-        )
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
     )
-    # each copy lists the class once
     able = (
-        classes.join(hits, "class")
-        .where(F.col("hits") >= F.col("copies") * _spare_column(_least_column("n")))
+        classes.join(hits, "doc_id")
+        .where(F.col("hits") >= _spare_column(_least_column("n")))
         .select("doc_id")
     )
-    return stored(_texts(docs).join(able, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    packed = _texts(docs).mapInArrow(pack, PACKED)
+    return stored(packed.join(able, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
 
 def _least_column(name: str):
@@ -186,7 +201,7 @@ def _least_column(name: str):
 
 
 def _spare_column(size):
-    return 1 + F.floor(size / 32)
+    return 1 + F.floor(size / 16)
 
 
 def cells(near: DataFrame) -> DataFrame:
@@ -325,7 +340,7 @@ def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out.extend({(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in found})
 
     last = None
-    for batch in batches:
+    for batch in map(unpacked, batches):
         names = [batch.column(c).to_pylist() for c in ("cell", "part")]
         ids, settled = (batch.column(c).to_pylist() for c in ("doc_id", "settled"))
         for i, shingles in shingle_sets(batch):
@@ -351,7 +366,7 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell, chunk and pivot first: each row's ring about the chunk's pivot."""
     pivot: np.ndarray | None = None
-    for batch in batches:
+    for batch in map(unpacked, batches):
         rows: dict[str, list] = {"cell": [], "pivot": [], "doc_id": [], "ring": []}
         cell, ids, is_pivot, pivots = (
             batch.column(c).to_pylist() for c in ("cell", "doc_id", "is_pivot", "pivot")

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 
 #: Bytes of text that are worked on at a time.
 SLICE_BYTES = 1 << 20
@@ -114,3 +115,25 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+PACKED = "doc_id long, packed binary"
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, text`` to ``doc_id, packed``: compressed texts, to be shuffled."""
+    compressor = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        packed = [compressor.compress((text or "").encode()) for text in texts]
+        yield pa.record_batch(
+            [batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"]
+        )
+
+
+def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``packed`` as ``text`` again, as bytes; other columns as they are."""
+    decompressor = zstandard.ZstdDecompressor()
+    at = batch.schema.get_field_index("packed")
+    texts = [decompressor.decompress(p) for p in batch.column(at).to_pylist()]
+    return batch.set_column(at, "text", pa.array(texts, pa.binary()))
