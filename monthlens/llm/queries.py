@@ -6,12 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlens.llm import chat, fingerprints, jaccard, packing, repeats, secret_scan
+from monthlens.llm import (
+    chat,
+    fingerprints,
+    jaccard,
+    licenses,
+    packing,
+    pieces,
+    quality,
+    repeats,
+    secret_scan,
+)
 from monthlens.llm.shared import ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: A public vocabulary file; a parameter of the operator.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.read_model(PIECE_MODEL))
+
+
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
 
@@ -20,6 +38,14 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(table(spark, sf_dir, "documents"))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents")).drop("distance")
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.sql(
         "select -1L conv_id, id turn, if(id = 0, 'user', 'assistant') role,"
@@ -54,8 +80,11 @@ def queries() -> dict[str, Query]:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": _op1,
     "op2_suffix_array_dedup": _op2,
     "op3_jaccard_join": _op3,
+    "op4_quality_rules": _op4,
+    "op5_license_scan": _op5,
     "op6_chat_format": _op6,
     "op8_packing": _op8,
     "op9_fingerprints": _op9,
