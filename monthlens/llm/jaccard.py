@@ -322,6 +322,25 @@ class Cell:
         return found
 
 
+def spanning(pairs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """The pairs that connect what all ``pairs`` connect: less than ``n``."""
+    parent = list(range(n))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for a, b in pairs:
+        ra, rb = root(a), root(b)
+        if ra != rb:
+            parent[rb] = ra
+            kept.append((a, b))
+    return kept
+
+
 _CELL_SCHEMA = "a long, b long"
 
 
@@ -337,7 +356,9 @@ def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settled = np.array([h[1] for h in held])
         cell = Cell([h[2] for h in held])
         found = cell.join(np.arange(len(held)), settled)
-        out.extend({(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in found})
+        out.extend(
+            (min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in spanning(found, len(held))
+        )
 
     last = None
     for batch in map(unpacked, batches):
