@@ -16,6 +16,7 @@ from monthlens.llm import (
     quality,
     repeats,
     secret_scan,
+    toxicity,
 )
 from monthlens.llm.shared import ship_package, table
 
@@ -55,6 +56,11 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.unionByName(added)))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.n_words())
 
@@ -86,6 +92,7 @@ _QUERIES: dict[str, Query] = {
     "op4_quality_rules": _op4,
     "op5_license_scan": _op5,
     "op6_chat_format": _op6,
+    "op7_toxicity": _op7,
     "op8_packing": _op8,
     "op9_fingerprints": _op9,
     "op10_secret_scan": _op10,
