@@ -39,7 +39,8 @@ from monthlens.llm.shared import stored
 
 WINDOW = 100
 GRAM = 32
-CROWD = 250
+#: Blocks of an anchor that are put in order in a task: about as many bytes as one goes through.
+CROWD = 15_000
 _GRAMS = WINDOW - GRAM + 1
 _PIECE = 1 << 19
 _INDEX_BITS = np.uint64(20)
