@@ -57,8 +57,8 @@ def fill(spark: SparkSession, folder: str, rows: int) -> None:
     }
     for name, df in made.items():
         path = f"{folder}/{name}"
-        if not os.path.exists(path):
-            df.write.parquet(path)
+        if not os.path.exists(f"{path}/_SUCCESS"):
+            df.write.mode("overwrite").parquet(path)
 
 
 def queries(spark: SparkSession, folder: str) -> dict[str, callable]:
@@ -90,7 +90,7 @@ def queries(spark: SparkSession, folder: str) -> dict[str, callable]:
         "client_ranks": lambda: clients.client_ranks(installs, MARCH),
         "login_etl": lambda: etl.login_etl(records, blocks, MARCH),
         "ip_country": lambda: with_country(numbered(), blocks),
-        "ip_country by shuffle": lambda: with_country(numbered(), blocks, broadcast_rows=0),
+        "ip_country by shuffle": lambda: with_country(numbered(), blocks, broadcast_bytes=0),
     }
 
 

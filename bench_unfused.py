@@ -5,7 +5,7 @@ Each figure has its own subquery over the inputs; nothing is shared.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from monthlens import MonthParams
 from monthlens.operators.latest import usable_installs, version_label
@@ -79,3 +79,16 @@ def client_version(installs: DataFrame, params: MonthParams) -> DataFrame:
     usable = usable_installs(installs, params)
     labelled = usable.withColumn("version", version_label(usable.type, usable.version, params))
     return installs.sparkSession.sql(_CLIENTS, installs=labelled)
+
+
+def client_ranks(usable: DataFrame) -> DataFrame:
+    """Ranks by a window per user: one task holds all rows of a user."""
+    newest = Window.partitionBy("uid", "type", "source").orderBy(F.col("download_time").desc())
+    return usable.where("download_time is not null").select(
+        "uid",
+        "type",
+        "source",
+        "download_time",
+        F.rank().over(newest).cast("bigint").alias("rnk"),
+        F.dense_rank().over(newest).cast("bigint").alias("dense_rnk"),
+    )

@@ -26,6 +26,17 @@ signups as (
     group by o_custkey
 )"""
 
+_SNAPSHOT = """
+signups as (
+    select o_custkey as id,
+           epoch_ms(min(o_orderdate)) as created_at,
+           date_trunc('month', min(o_orderdate))::date as month,
+           strftime(min(o_orderdate), '%Y-%m') as ds
+    from orders
+    where o_custkey between 1 and 10000000000
+    group by o_custkey
+)"""
+
 _REST = """
 rest as (
     select distinct rest_date::date as day
@@ -121,6 +132,7 @@ shares as (
 _TO_CLIENTS = (_INSTALLS, _LATEST, _SIDES, _CLIENTS)
 
 _REGISTERED = "(select count(distinct id) from signups where month <= date '1996-03-01')"
+_IN_SNAPSHOT = "(select count(distinct id) from signups where substr(ds, 1, 7) <= '1996-03')"
 _MAU = "(select count(distinct uid) from logins where month_time = '1996-03')"
 _OLD_USERS = """(
     select count(distinct uid) from logins
@@ -267,6 +279,10 @@ def statements() -> dict[str, str]:
             new_user_keep_ratio=f"{_KEPT_NEW} / nullif({_NEW_BEFORE}, 0)",
         ),
         "month_user_stat": _sql((*calendar, _SIGNUPS, _STAT), "\nselect * from stat"),
+        "month_user_stat_ds": _sql(
+            (*calendar, _SNAPSHOT, _STAT.replace(_REGISTERED, _IN_SNAPSHOT)),
+            "\nselect * from stat",
+        ),
         "active_user_stat": _sql(
             (*calendar, _SIGNUPS, _STAT),
             """

@@ -7,13 +7,17 @@ client-report.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import SparkSession
 
 from monthlens.params import MonthParams
-from monthlens.plans import clients, etl, month_stat
+from monthlens.plans import activity, clients, etl, month_stat
 from monthlens.sinks import reports, tables as out
 from monthlens.sources import tables as src
 
+log = logging.getLogger(__name__)
+
 
 def load_users(spark: SparkSession, params: MonthParams, users: str, snapshot: str) -> None:
     """Raw registrations of the month into their partition of the snapshot."""
@@ -23,29 +27,44 @@ def load_users(spark: SparkSession, params: MonthParams, users: str, snapshot: s
 
 def load_logins(
     spark: SparkSession, params: MonthParams, records: str, blocks: str, logins: str
-) -> None:
-    """Raw logins of the month into their partition of the login table."""
-    month = etl.login_etl(
-        src.read_table(spark, records), src.read_table(spark, blocks), params
-    )
+) -> int:
+    """Raw logins of the month into their partition of the login table.
+
+    Returns, and reports, how many of them hold a day text that is no date.
+    """
+    raw = src.read_table(spark, records)
+    month = etl.login_etl(raw, src.read_table(spark, blocks), params)
     kept = out.conform(month, out.LOGIN_ETL).drop("month_time")
     out.overwrite_month(kept, logins, None, params.label, partition="month_time")
+    malformed = src.malformed_days(etl.in_month(raw, params), "recordtime").first().malformed
+    if malformed:
+        log.warning("%s: %s logins have no day and count in no daily figure", params.label, malformed)
+    return malformed
 
 
 def user_stat(
     spark: SparkSession, params: MonthParams, logins: str, snapshot: str, rest_days: str, stat: str
-) -> None:
-    """The monthly user statistic into its partition."""
+) -> int:
+    """The monthly user statistic into its partition.
+
+    Returns, and reports, how many of the month's registrations have no id: under the rules of
+    ``NOT IN``, one of them makes ``mau_exclude_register`` 0.
+    """
     out.create_if_missing(spark, stat, out.by_month(out.MONTH_USER_STAT), "ds")
+    signups = src.read_partitioned(spark, snapshot, "ds")
     row = month_stat.month_user_stat(
         src.visits_from_logins(
             src.read_table(spark, logins, out.LOGIN_ETL), params.previous, params.following
         ),
-        src.read_partitioned(spark, snapshot, "ds"),
+        signups,
         src.read_table(spark, rest_days),
         params,
     )
     out.overwrite_month(row, stat, out.MONTH_USER_STAT, params.label)
+    lost = activity.signups_without_id(signups, params).first().lost
+    if lost:
+        log.warning("%s: %s registrations have no id", params.label, lost)
+    return lost
 
 
 def user_report(spark: SparkSession, params: MonthParams, stat: str, report: str) -> None:
@@ -57,15 +76,16 @@ def client_version(
     spark: SparkSession, params: MonthParams, device: str, client: str, table: str
 ) -> None:
     """The latest client of every user, as of the month's end."""
-    out.create_if_missing(spark, table, out.CLIENT_VERSION)
+    out.create_if_missing(spark, table, out.by_month(out.CLIENT_VERSION), "ds")
     installs = src.installs(src.read_table(spark, device), src.read_table(spark, client))
-    out.overwrite_table(clients.client_version(installs, params), table, out.CLIENT_VERSION)
+    rows = clients.client_version(installs, params)
+    out.overwrite_as_of(rows, table, out.CLIENT_VERSION, params.label)
 
 
 def client_share(spark: SparkSession, params: MonthParams, clients_path: str, share: str) -> None:
     """Platform shares into the month's partition."""
     out.create_if_missing(spark, share, out.by_month(out.MONTH_CLIENT_VERSION), "ds")
-    users = src.read_table(spark, clients_path, out.CLIENT_VERSION)
+    users = out.read_as_of(spark, clients_path, out.CLIENT_VERSION, params.label)
     rows = clients.month_client_version(users)
     out.overwrite_month(rows, share, out.MONTH_CLIENT_VERSION, params.label)
 

@@ -9,10 +9,10 @@ range check, no matter how uneven the blocks are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-WIDE_LIMIT = 1 << 16  # whole /16 networks there are
-BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 32 << 20
+_ROW_BYTES = 64  # of a lookup row, besides its country
 
 
 def _cut(blocks: DataFrame) -> DataFrame:
@@ -53,37 +53,67 @@ def narrow_blocks(blocks: DataFrame) -> DataFrame:
 
 
 def lookup_sizes(blocks: DataFrame) -> tuple[int, int]:
-    """Rows of the two lookup tables, added up without building them."""
+    """Bytes, about, of the two lookup tables; an error if blocks overlap.
+
+    One job adds up the rows without building them and looks for overlap after the cut: a whole
+    network in two blocks, a whole network with parts of others, and parts of one /24 network
+    that begin before the part before them has ended.
+    """
     wide, head, tail = (
         f"sum(if({lo} <= {hi}, shiftright({hi}, {bits}) - shiftright({lo}, {bits}) + 1, 0))"
         for lo, hi, bits in (("first", "last", 0), ("lo", "head_hi", 8), ("tail_lo", "hi", 8))
     )
-    row = _cut(blocks).selectExpr(f"{wide} as wide", f"{head} + {tail} as narrow").first()
-    return row.wide or 0, row.narrow or 0
+    sizes = _cut(blocks).selectExpr(
+        "0L as overlaps",
+        f"coalesce({wide}, 0L) as wide",
+        f"coalesce({head} + {tail}, 0L) as narrow",
+        "coalesce(max(octet_length(cc)), 0) as width",
+    )
+    networks = wide_blocks(blocks).groupBy("wide").agg(F.count(F.lit(1)).alias("n"))
+    parts = narrow_blocks(blocks).withColumn("wide", F.expr("shiftright(narrow, 8)"))
+    order = Window.partitionBy("narrow").orderBy("lo", "hi")
+    behind = parts.withColumn("before", F.lag("hi").over(order)).where("before >= lo")
+    found = [
+        networks.where("n > 1").select("wide"),
+        parts.join(networks.select("wide"), "wide", "left_semi").select("wide"),
+        behind.select("wide"),
+    ]
+    for overlap in found:
+        none = overlap.agg(F.count(F.lit(1)).alias("overlaps"))
+        sizes = sizes.union(none.selectExpr("overlaps", "0L", "0L", "0"))
+    row = sizes.selectExpr("sum(overlaps) o", "sum(wide) w", "sum(narrow) n", "max(width) l").first()
+    if row.o:
+        raise ValueError("address blocks overlap")
+    return row.w * (_ROW_BYTES + row.l), row.n * (_ROW_BYTES + row.l)
 
 
 def with_country(
-    df: DataFrame, blocks: DataFrame, address: str = "ip_num", broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    blocks: DataFrame,
+    address: str = "ip_num",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` with ``cc``, the country of its address column; NULL where no block holds it.
 
-    Small lookup tables are broadcast, so a crowded network costs no shuffle. A larger one
-    is joined by its network number, first with the distinct addresses only, of which a
-    network has no more than 256. Adaptive execution splits a crowded address in the
-    join back.
+    Lookup tables of up to ``broadcast_bytes`` are broadcast, so a crowded network costs no
+    shuffle. Larger ones are joined by their network number, first with the distinct addresses
+    only, of which a network has no more than 65,536. Adaptive execution splits a crowded address
+    in the join back; rows without an address take no part in it.
     """
-    wide_rows, narrow_rows = lookup_sizes(blocks)
-    if wide_rows > WIDE_LIMIT:
-        raise ValueError("address blocks overlap")
-    if narrow_rows <= broadcast_rows:
-        return _probe(df, blocks, address, F.broadcast(narrow_blocks(blocks)))
-    addresses = df.select(address).where(F.col(address).isNotNull()).distinct()
-    known = _probe(addresses, blocks, address, narrow_blocks(blocks).hint("merge"))
-    return df.join(known.where(F.col("cc").isNotNull()), address, "left")
+    wide_bytes, narrow_bytes = lookup_sizes(blocks)
+    wide, narrow = wide_blocks(blocks), narrow_blocks(blocks)
+    if wide_bytes + narrow_bytes <= broadcast_bytes:
+        return _probe(df, F.broadcast(wide), address, F.broadcast(narrow))
+    located = df.where(F.col(address).isNotNull())
+    known = _probe(
+        located.select(address).distinct(), wide.hint("merge"), address, narrow.hint("merge")
+    )
+    found = located.join(known.where(F.col("cc").isNotNull()), address, "left")
+    lost = df.where(F.col(address).isNull()).withColumn("cc", F.lit(None).cast("string"))
+    return found.unionByName(lost).select(*df.columns, "cc")
 
 
-def _probe(df: DataFrame, blocks: DataFrame, address: str, narrow: DataFrame) -> DataFrame:
-    wide = F.broadcast(wide_blocks(blocks))
+def _probe(df: DataFrame, wide: DataFrame, address: str, narrow: DataFrame) -> DataFrame:
     in_wide = F.expr(f"shiftright({address}, 16) = wide")
     in_narrow = F.expr(f"shiftright({address}, 8) = narrow and {address} between lo and hi")
     found = df.join(wide, in_wide, "left").join(narrow, in_narrow, "left")

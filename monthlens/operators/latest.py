@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from monthlens.functions.dates import second_text, up_to_month
+from monthlens.functions.dates import in_zone, second_text, up_to_month
 from monthlens.params import MonthParams
 from monthlens.sources.tables import ANDROID, DEVICE, IPHONE
 
@@ -16,6 +16,7 @@ def usable_installs(installs: DataFrame, params: MonthParams) -> DataFrame:
 
     Times are cut to the second. Installs in the device table have the channel ''.
     """
+    installs = in_zone(installs, "created_at", params.time_zone)
     labels = {ANDROID: params.android_label, IPHONE: params.iphone_label}
     named = [
         (F.col("type") == code) & ((F.lit(label) != "") | (F.col("version") != ""))

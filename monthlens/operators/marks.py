@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from monthlens.functions.dates import month_of_millis
+from monthlens.functions.dates import after_month, month_of_millis
 from monthlens.params import MonthParams
 
 ACTIVE = 1
@@ -40,31 +40,44 @@ def visit_marks(visits: DataFrame, params: MonthParams) -> DataFrame:
 
 
 def registered_by_month_end(signups: DataFrame, params: MonthParams) -> str:
-    """In the snapshot up to the month's partition, or created before the month ended."""
+    """In the snapshot up to the month's partition, or created before the month ended.
+
+    Both are plain comparisons, so that whole partitions or row groups are left out.
+    """
     if "ds" in signups.columns:
-        return f"substring(ds, 1, 7) <= '{params.label}'"
+        return f"ds < '{after_month(params.start)}'"
     return f"created_at < {params.millis(params.following)}"
 
 
-def _created_in(params: MonthParams, start, end) -> str:
+def created_in(params: MonthParams, start, end) -> str:
     first, last = params.millis(start), min(params.millis(end), CREATED_AT_BOUND)
     return f"(created_at >= {first} and created_at < {last})"
 
 
-def signup_marks(signups: DataFrame, params: MonthParams) -> DataFrame:
-    """Marks of all registrations up to the end of the reported month."""
+def signup_marks(signups: DataFrame, params: MonthParams) -> list[DataFrame]:
+    """Marks of all registrations up to the end of the reported month.
+
+    A snapshot with partitions is read twice, as each read is pruned by its own column: the
+    partitions up to the month, ids only, and the row groups of the two recent months.
+    """
+    recent = recent_signup_marks(signups, params)
+    if "ds" in signups.columns:
+        known = signups.where(registered_by_month_end(signups, params))
+        return [known.selectExpr("id as uid", f"{REGISTERED}L as mark"), recent]
     tests = {
         REGISTERED: registered_by_month_end(signups, params),
-        SIGNED_UP: _created_in(params, params.start, params.following),
-        SIGNED_UP_BEFORE: _created_in(params, params.previous, params.start),
+        SIGNED_UP: created_in(params, params.start, params.following),
+        SIGNED_UP_BEFORE: created_in(params, params.previous, params.start),
     }
     mask = " | ".join(f"if({test}, {bit}L, 0L)" for bit, test in tests.items())
-    return signups.where(" or ".join(tests.values())).selectExpr("id as uid", f"{mask} as mark")
+    return [
+        signups.where(" or ".join(tests.values())).selectExpr("id as uid", f"{mask} as mark")
+    ]
 
 
 def recent_signup_marks(signups: DataFrame, params: MonthParams) -> DataFrame:
     """Marks of the registrations in the reported month and the one before it."""
-    return signups.where(_created_in(params, params.previous, params.following)).selectExpr(
+    return signups.where(created_in(params, params.previous, params.following)).selectExpr(
         "id as uid",
         f"if(created_at >= {params.millis(params.start)}, {SIGNED_UP}L, {SIGNED_UP_BEFORE}L)"
         " as mark",
@@ -85,16 +98,25 @@ def signup_marks_all(signups: DataFrame, time_zone: str) -> DataFrame:
     )
 
 
-def first_signup_marks(signups: DataFrame, time_zone: str) -> DataFrame:
-    """One mark per user in the month of the earliest registration."""
+def all_signup_marks(signups: DataFrame, time_zone: str) -> DataFrame:
+    """Marks of every month with a believed registration, and of each user's earliest one.
+
+    One aggregate per id gives both; an id has no more months than the calendar. The earliest
+    one is the first partition ``ds`` that is a month, if there are partitions.
+    """
+    believed = f"if(created_at < {CREATED_AT_BOUND}, created_at, null)"
+    dated = signups.select("*", month_of_millis(believed, time_zone).alias("month"))
+    first = "month"
     if "ds" in signups.columns:
-        first = signups.groupBy(F.col("id").alias("uid")).agg(F.expr("min(ds) as first"))
-        month = F.expr("cast(concat(substring(first, 1, 7), '-01') as date)")
-    else:
-        first = signups.groupBy(F.col("id").alias("uid")).agg(F.expr("min(created_at) as first"))
-        month = month_of_millis("first", time_zone)
-    return first.where("first is not null").select(
-        "uid", month.alias("month"), F.expr(f"{FIRST_SIGN_UP}L as mark")
+        first = "try_cast(concat(substring(ds, 1, 7), '-01') as date)"
+    per_id = dated.groupBy(F.col("id").alias("uid")).agg(
+        F.expr(f"min({first}) as first"), F.expr("collect_set(month) as months")
+    )
+    return per_id.selectExpr(
+        "uid",
+        "inline(concat("
+        f"transform(months, m -> struct(m as month, {SIGNED_UP}L as mark)), "
+        f"if(first is null, array(), array(struct(first as month, {FIRST_SIGN_UP}L as mark)))))",
     )
 
 

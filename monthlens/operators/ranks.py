@@ -23,7 +23,7 @@ def client_ranks(usable: DataFrame) -> DataFrame:
     times = counted.agg(F.expr("count(1) as copies")).repartition(*day_keys)
 
     days = times.groupBy(*day_keys).agg(
-        F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("times")
+        F.sum("copies").alias("rows"), F.count("download_time").alias("times")
     )
     later_days = (
         Window.partitionBy(*_KEYS)
@@ -56,11 +56,10 @@ def client_ranks(usable: DataFrame) -> DataFrame:
 
 
 def _repeat(ranked: DataFrame) -> DataFrame:
-    """Each row ``copies`` times. Chunks of the copies go to different tasks."""
+    """Each row ``copies`` times, in arrays of up to ``_CHUNK``."""
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(_CHUNK).cast("bigint"))
     chunks = ranked.select("*", F.explode(starts).alias("first"))
-    spread = chunks.repartition(*_KEYS, "download_time", "first")
     copies = F.array_repeat(
         F.lit(1), F.least(F.lit(_CHUNK), F.col("copies") - F.col("first")).cast("int")
     )
-    return spread.select(*_KEYS, "download_time", "rnk", "dense_rnk", F.explode(copies)).drop("col")
+    return chunks.select(*_KEYS, "download_time", "rnk", "dense_rnk", F.explode(copies)).drop("col")

@@ -41,6 +41,12 @@ def register_number_month(signups: DataFrame, params: MonthParams) -> DataFrame:
     )
 
 
+def signups_without_id(signups: DataFrame, params: MonthParams) -> DataFrame:
+    """How many of the month's registrations have no id."""
+    inside = m.created_in(params, params.start, params.following)
+    return signups.where(inside).agg(F.count_if(F.col("id").isNull()).alias("lost"))
+
+
 def mau(visits: DataFrame, params: MonthParams) -> DataFrame:
     """Users active in the month."""
     return _labelled(_in_month(visits, params), params, F.count_distinct("uid").alias("mau"))

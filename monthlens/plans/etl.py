@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from monthlens.functions.dates import in_days, is_text
+from monthlens.functions.dates import in_days, in_zone, is_text
 from monthlens.functions.ip import with_ip_number
 from monthlens.operators.iplookup import with_country
 from monthlens.params import MonthParams
@@ -25,14 +25,21 @@ def ip_country(records: DataFrame, blocks: DataFrame) -> DataFrame:
     return with_country(numbered, blocks)
 
 
+def in_month(records: DataFrame, params: MonthParams) -> DataFrame:
+    """Raw logins of real users in the month; of a text the first seven characters are the month."""
+    records = in_zone(records, "recordtime", params.time_zone)
+    inside = in_days(records, "recordtime", params.start, params.following)
+    if is_text(records, "recordtime"):
+        inside &= F.substring("recordtime", 1, 7) == params.label
+    return valid_ids(records, "userid", params).where(inside)
+
+
 def login_etl(records: DataFrame, blocks: DataFrame, params: MonthParams) -> DataFrame:
     """Distinct user, day and country of the month's raw logins.
 
     ``month_time`` and ``day_time`` are the first 7 and 10 characters of the login time.
     """
-    month = valid_ids(records, "userid", params).where(
-        in_days(records, "recordtime", params.start, params.following)
-    )
+    month = in_month(records, params)
     day = "substring(recordtime, 1, 10)" if is_text(records, "recordtime") else "date(recordtime)"
     daily = month.selectExpr("userid as uid", f"{day} as day", "loginip")
     located = with_country(with_ip_number(daily, "loginip", "ip_num"), blocks)

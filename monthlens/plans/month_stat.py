@@ -77,7 +77,7 @@ def month_user_stat(
     ``visits`` must cover the reported month and the one before it.
     """
     users = m.merge_marks(
-        [m.visit_marks(visits, params), m.signup_marks(signups, params)], ["uid"]
+        [m.visit_marks(visits, params), *m.signup_marks(signups, params)], ["uid"]
     )
     month = F.expr(f"date'{params.start}' as month")
     counted = users.agg(*_counts(m.REGISTERED), month)
@@ -93,8 +93,7 @@ def month_user_stat_all(
     users = m.merge_marks(
         [
             m.visit_marks_all(visits),
-            m.signup_marks_all(signups, params.time_zone),
-            m.first_signup_marks(signups, params.time_zone),
+            m.all_signup_marks(signups, params.time_zone),
         ],
         ["month", "uid"],
     )

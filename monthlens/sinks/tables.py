@@ -79,9 +79,21 @@ def overwrite_month(
     return written
 
 
-def overwrite_table(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Replace the whole table."""
-    conform(df, schema).write.mode("overwrite").parquet(path)
+def overwrite_as_of(df: DataFrame, path: str, schema: T.StructType, ds: str) -> int:
+    """Replace the whole table as of a month; returns the rows written.
+
+    The month is a partition of its own, which takes the place of an earlier run's only once all
+    of it is written. A run that fails leaves the table as it was, for this month and any other.
+    """
+    return overwrite_month(df, path, schema, ds)
+
+
+def read_as_of(spark: SparkSession, path: str, schema: T.StructType, ds: str) -> DataFrame:
+    """The table as of a month; an error if no run has written that month."""
+    rows = read_month(spark, path, schema, ds)
+    if rows.isEmpty():
+        raise ValueError(f"there is no table as of {ds}")
+    return rows.drop("ds")
 
 
 def read_month(spark: SparkSession, path: str, schema: T.StructType, ds: str) -> DataFrame:

@@ -43,7 +43,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).selectExpr("o_custkey as id", "o_orderdate as first").groupBy(
         "id"
     ).agg({"first": "min"}).selectExpr(
-        "id", "datediff(cast(`min(first)` as date), date'1970-01-01') * 86400000L as created_at"
+        "id", "timestampdiff(millisecond, timestamp_ntz'1970-01-01', `min(first)`) as created_at"
     )
 
 

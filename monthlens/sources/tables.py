@@ -15,7 +15,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from monthlens.functions.dates import day_of, in_days, month_of
+from monthlens.functions.dates import day_of, in_days, in_zone, month_of
 from monthlens.params import MonthParams, month_start
 
 DEVICE = "device"
@@ -50,10 +50,11 @@ def visits_from_records(
     end: date | None = None,
 ) -> DataFrame:
     """Visits straight from raw logins (``userid``, ``recordtime``)."""
+    records = in_zone(records, "recordtime", params.time_zone)
     kept = valid_ids(records, "userid", params).where(in_days(records, "recordtime", start, end))
     return kept.select(
         F.col("userid").alias("uid"),
-        month_of(records, "recordtime", start, end).alias("month"),
+        month_of(records, "recordtime").alias("month"),
         day_of(records, "recordtime").alias("day"),
     )
 
@@ -74,7 +75,7 @@ def visits_from_logins(
         )
     return kept.select(
         "uid",
-        month_of(logins, "day_time", start, end).alias("month"),
+        month_of(logins, "day_time").alias("month"),
         day_of(logins, "day_time").alias("day"),
     )
 

@@ -249,9 +249,64 @@ def test_months_of_texts_and_typed_columns(spark, kind):
     )
     start, end = date(2024, 1, 1), date(2024, 4, 1)
     kept = df.where(in_days(df, "t", start, end))
-    rows = kept.select(
-        "text", month_of(df, "t").alias("read"), month_of(df, "t", start, end).alias("compared")
-    ).collect()
+    rows = kept.select("text", month_of(df, "t").alias("month")).collect()
     assert [r.text for r in rows] == texts[1:4]
     for r in rows:
-        assert r.read == r.compared == date.fromisoformat(r.text[:8] + "01")
+        assert r.month == date.fromisoformat(r.text[:8] + "01")
+
+
+ODD_DAYS = ["2024-03-00 10:00:00", "2024-03", "2024-13-05", "2024-03-xx", "2024-02-29", "2024-04-00"]
+
+
+def test_one_month_rule_for_odd_texts(spark):
+    """The first seven characters are the month, if they are one, on every path."""
+    records = fx.records(spark, [(fx.BASE + i, t, "10.0.0.1") for i, t in enumerate(ODD_DAYS)])
+    _, signups, rest = _inputs(spark)
+    p = fx.MARCH
+    bounded = tables.visits_from_records(records, p, p.previous, p.following)
+    assert _row(month_stat.month_user_stat(bounded, signups, rest, p))["mau"] == 3
+    whole = tables.visits_from_records(records, p)
+    rows = month_stat.month_user_stat_all(whole, signups, rest, p).collect()
+    assert {r.month_time: r.mau for r in rows} == {"2024-02": 1, "2024-03": 3, "2024-04": 1}
+    etl_rows = etl.login_etl(records, fx.blocks(spark, [("aa", 0, 2**32 - 1)]), p).collect()
+    assert {(r.uid - fx.BASE, r.month_time) for r in etl_rows} == {
+        (i, "2024-03") for i in (0, 1, 3)
+    }
+
+
+@pytest.mark.parametrize("odd", [2**63 - 1, -(2**63), None, 2434028380862])
+def test_extreme_registrations(spark, odd):
+    users = [*fx.USERS, (fx.BASE + 8, odd), (fx.BASE + 1, odd)]
+    visits, signups, rest = _inputs(spark, users=users)
+    one = _row(month_stat.month_user_stat(visits, signups, rest, fx.MARCH))
+    every = tables.visits_from_records(fx.records(spark), fx.MARCH)
+    rows = month_stat.month_user_stat_all(every, signups, rest, fx.MARCH).collect()
+    assert next(r.asDict() for r in rows if r.month_time == "2024-03") == one
+    assert one["register_number"] == (6 if odd is not None and odd < 0 else 5)
+
+
+def test_odd_partition_of_a_snapshot(spark):
+    visits, signups, rest = _inputs(spark)
+    months = F.date_format(month_of_millis("created_at", "UTC"), "yyyy-MM")
+    named = signups.withColumn(
+        "ds", F.when(F.col("id") == fx.BASE + 6, "latest").otherwise(months)
+    )
+    one = _row(month_stat.month_user_stat(visits, named, rest, fx.MARCH))
+    every = tables.visits_from_records(fx.records(spark), fx.MARCH)
+    rows = month_stat.month_user_stat_all(every, named, rest, fx.MARCH).collect()
+    assert next(r.asDict() for r in rows if r.month_time == "2024-03") == one == fx.STAT
+
+
+def test_instants_count_in_the_zone_of_the_run(spark):
+    """The last hours of February in UTC are March in Shanghai, for logins and registrations."""
+    p = MonthParams.for_month("2024-03", time_zone="Asia/Shanghai")
+    at = "2024-02-29 20:00:00"
+    instants = fx.records(spark, [(fx.BASE + 1, at, "10.0.0.1")]).withColumn(
+        "recordtime", F.col("recordtime").cast("timestamp")
+    )
+    users = fx.users(spark, [(fx.BASE + 1, fx.millis(at.replace(" ", "T")))])
+    visits = tables.visits_from_records(instants, p, p.previous, p.following)
+    row = _row(month_stat.month_user_stat(visits, users, fx.rest_days(spark), p))
+    assert (row["mau"], row["mau_exclude_register"], row["register_number"]) == (1, 0, 1)
+    days = etl.login_etl(instants, fx.blocks(spark, [("aa", 0, 2**32 - 1)]), p).collect()
+    assert [(r.month_time, r.day_time) for r in days] == [("2024-03", "2024-03-01")]

@@ -31,13 +31,13 @@ def _addresses(blocks, seed):
     return [v for v in edges + drawn + [blocks[0][1]] * 800 if 0 <= v < 2**32] + [None]
 
 
-@pytest.mark.parametrize("broadcast_rows", [iplookup.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("broadcast_bytes", [iplookup.BROADCAST_BYTES, 0])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_matches_range_comparison(spark, seed, broadcast_rows):
+def test_matches_range_comparison(spark, seed, broadcast_bytes):
     blocks = _uneven_blocks(seed)
     addresses = _addresses(blocks, seed)
     frame = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "n int, ip_num bigint")
-    got = iplookup.with_country(frame, fx.blocks(spark, blocks), broadcast_rows=broadcast_rows)
+    got = iplookup.with_country(frame, fx.blocks(spark, blocks), broadcast_bytes=broadcast_bytes)
     found = {r.n: r.cc for r in got.collect()}
     assert len(found) == got.count() == len(addresses)
     for n, address in enumerate(addresses):
@@ -49,16 +49,40 @@ def test_matches_range_comparison(spark, seed, broadcast_rows):
 
 def test_lookup_sizes_are_those_of_the_tables(spark):
     blocks = fx.blocks(spark, _uneven_blocks(7))
+    width = 64 + max(len(r.cc) for r in blocks.collect())
     assert iplookup.lookup_sizes(blocks) == (
-        iplookup.wide_blocks(blocks).count(),
-        iplookup.narrow_blocks(blocks).count(),
+        iplookup.wide_blocks(blocks).count() * width,
+        iplookup.narrow_blocks(blocks).count() * width,
     )
+    assert iplookup.lookup_sizes(fx.blocks(spark, [])) == (0, 0)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [iplookup.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [("a", 0, 2**32 - 1), ("b", 0, 2**32 - 1)],
+        [("a", 0, 65535), ("b", 0, 65535)],
+        [("a", 0, 65535), ("b", 70, 80)],
+        [("a", 0, 9), ("b", 9, 20)],
+        [("a", 0, 9), ("a", 0, 9)],
+        [("a", 100, 5000), ("b", 4999, 4999)],
+    ],
+)
+def test_overlapping_blocks_are_refused(spark, rows, broadcast_bytes):
+    frame = spark.range(1).withColumnRenamed("id", "ip_num")
+    with pytest.raises(ValueError, match="overlap"):
+        iplookup.with_country(frame, fx.blocks(spark, rows), broadcast_bytes=broadcast_bytes)
 
 
-def test_overlapping_blocks_are_refused(spark):
-    blocks = fx.blocks(spark, [("a", 0, 2**32 - 1), ("b", 0, 2**32 - 1)])
-    with pytest.raises(ValueError, match="overlap"):
-        iplookup.with_country(spark.range(1).withColumnRenamed("id", "ip_num"), blocks)
+def test_neighbouring_blocks_are_no_overlap(spark):
+    blocks = fx.blocks(spark, [("a", 0, 65535), ("b", 65536, 65536), ("c", 65537, 70000)])
+    frame = spark.createDataFrame([(65535,), (65536,), (65537,), (None,)], "ip_num bigint")
+    for size in (iplookup.BROADCAST_BYTES, 0):
+        got = iplookup.with_country(frame, blocks, broadcast_bytes=size).collect()
+        assert sorted((r.cc or "", r.ip_num) for r in got) == [
+            ("", None), ("a", 65535), ("b", 65536), ("c", 65537),
+        ]
 
 
 def test_address_texts(spark):

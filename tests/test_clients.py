@@ -61,6 +61,45 @@ def test_every_combination_of_presence(spark):
     assert {r.uid: list(r)[1:] for r in got.collect()} == want
 
 
+# Who has which records, and the two versions that show, written out case by case: a user with any
+# record in the client table shows that table's platforms only.
+PRESENCE = [
+    # device android, device iphone, client android, client iphone -> android, iphone
+    ("d1", None, None, None, "d1", None),
+    (None, "d2", None, None, None, "d2"),
+    ("d1", "d2", None, None, "d1", "d2"),
+    (None, None, "c1", None, "c1", None),
+    ("d1", None, "c1", None, "c1", None),
+    (None, "d2", "c1", None, "c1", None),
+    ("d1", "d2", "c1", None, "c1", None),
+    (None, None, None, "c2", None, "c2"),
+    ("d1", None, None, "c2", None, "c2"),
+    (None, "d2", None, "c2", None, "c2"),
+    ("d1", "d2", None, "c2", None, "c2"),
+    (None, None, "c1", "c2", "c1", "c2"),
+    ("d1", None, "c1", "c2", "c1", "c2"),
+    (None, "d2", "c1", "c2", "c1", "c2"),
+    ("d1", "d2", "c1", "c2", "c1", "c2"),
+]
+
+
+def test_truth_table_of_the_merge(spark):
+    places = [(DEVICE, 1), (DEVICE, 2), (CLIENT, 1), (CLIENT, 2)]
+    rows = [
+        (source, uid, code, version, "2024-01-02 03:04:05", "ch")
+        for uid, case in enumerate(PRESENCE, 1)
+        for (source, code), version in zip(places, case[:4], strict=True)
+        if version
+    ]
+    got = {
+        r.uid: (r.android_version, r.iphone_version)
+        for r in clients.client_version(fx.install_frame(spark, rows), fx.MARCH).collect()
+    }
+    for uid, case in enumerate(PRESENCE, 1):
+        android, iphone = case[4:]
+        assert got[uid] == (android and f"A{android}", iphone and f"I{iphone}"), case
+
+
 def _random_installs(seed, n=800):
     rnd = random.Random(seed)
     return [

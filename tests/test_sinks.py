@@ -126,7 +126,7 @@ def test_chain_of_jobs(spark, tmp_path):
 
     for _ in range(2):
         jobs.client_version(spark, fx.MARCH, at["device"], at["client"], at["clients"])
-    table = src.read_table(spark, at["clients"], out.CLIENT_VERSION)
+    table = out.read_as_of(spark, at["clients"], out.CLIENT_VERSION, "2024-03")
     assert sorted(map(tuple, table.collect()), key=repr) == sorted(fx.CLIENTS, key=repr)
     jobs.client_share(spark, fx.MARCH, at["clients"], at["share"])
     jobs.client_report(spark, fx.MARCH, at["share"], at["client_r"])
@@ -139,6 +139,52 @@ def test_chain_of_jobs(spark, tmp_path):
     ]
 
 
+def test_failed_run_leaves_the_client_table(spark, tmp_path):
+    path = str(tmp_path / "clients")
+    good = spark.createDataFrame(fx.CLIENTS, out.CLIENT_VERSION)
+    out.overwrite_as_of(good, path, out.CLIENT_VERSION, "2024-03")
+    broken = good.withColumn(
+        "uid", F.when(F.col("uid") == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("uid"))
+    )
+    for ds in ("2024-03", "2024-04"):
+        with pytest.raises(Exception, match="broken"):
+            out.overwrite_as_of(broken, path, out.CLIENT_VERSION, ds)
+    rows = out.read_as_of(spark, path, out.CLIENT_VERSION, "2024-03").collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(fx.CLIENTS, key=repr)
+    out.overwrite_as_of(good.limit(1), path, out.CLIENT_VERSION, "2024-03")
+    assert out.read_as_of(spark, path, out.CLIENT_VERSION, "2024-03").count() == 1
+
+
+def test_shares_need_the_table_as_of_their_month(spark, tmp_path):
+    at = _inputs(spark, tmp_path)
+    table, share = str(tmp_path / "clients"), str(tmp_path / "share")
+    jobs.client_version(spark, fx.MARCH, at["device"], at["client"], table)
+    with pytest.raises(ValueError, match="as of 2024-01"):
+        jobs.client_share(spark, MonthParams.for_month("2024-01"), table, share)
+
+
+def test_jobs_report_what_is_malformed(spark, tmp_path, caplog):
+    at = _inputs(spark, tmp_path)
+    texts = ["2024-03-00 10:00:00", "2024-03", "2024-13-05", "2024-03-xx", "2024-03-01 08:00:00"]
+    odd = fx.records(spark, [(fx.BASE + i, t, "10.0.0.1") for i, t in enumerate(texts)])
+    odd.write.parquet(str(tmp_path / "odd"))
+    logins, snapshot = str(tmp_path / "logins"), str(tmp_path / "snapshot")
+    assert jobs.load_logins(spark, fx.MARCH, str(tmp_path / "odd"), at["blocks"], logins) == 3
+    rows = src.read_table(spark, logins, out.LOGIN_ETL).collect()
+    assert {r.month_time for r in rows} == {"2024-03"}
+    assert {r.uid - fx.BASE for r in rows} == {0, 1, 3, 4}
+    users = [(fx.BASE + 1, fx.millis("2024-03-05"), "2024-03"), (None, fx.millis("2024-03-06"), "2024-03")]
+    spark.createDataFrame(users, "id bigint, created_at bigint, ds string").write.partitionBy(
+        "ds"
+    ).parquet(snapshot)
+    stat = str(tmp_path / "stat")
+    assert jobs.user_stat(spark, fx.MARCH, logins, snapshot, at["rest"], stat) == 1
+    row = out.read_month(spark, stat, out.MONTH_USER_STAT, "2024-03").first()
+    assert (row.mau, row.mau_exclude_register, row.register_number) == (4, 0, 1)
+    assert "3 logins have no day" in caplog.text
+    assert "1 registrations have no id" in caplog.text
+
+
 def test_command_line(spark, tmp_path):
     at = _inputs(spark, tmp_path)
     table = str(tmp_path / "clients")
@@ -146,6 +192,6 @@ def test_command_line(spark, tmp_path):
         ["client-version", "--month", "2024-03", "--android-label", "A", "--iphone-label", "I"]
         + ["--device", at["device"], "--client", at["client"], "--table", table]
     )
-    rows = src.read_table(spark, table, out.CLIENT_VERSION).collect()
+    rows = out.read_as_of(spark, table, out.CLIENT_VERSION, "2024-03").collect()
     assert sorted(map(tuple, rows), key=repr) == sorted(fx.CLIENTS, key=repr)
     assert len(JOBS) == 7
