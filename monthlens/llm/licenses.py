@@ -6,8 +6,8 @@ of that size step by half of it, so one lies wholly inside any copy of the templ
 own windows step by one, so one of them is equal to it if the copy is verbatim. A copy with
 ``CONTAINMENT`` of the shingles has a window with a similarity of 0.8 / 1.2 or more to one of the
 template's; ``BANDS`` bands of ``ROWS`` hashes collide with a probability of
-``1 - (1 - (2/3)**2)**8``, 99 in 100, and always if the windows are equal. Windows that share no shingle with any template
-cannot match and are not hashed.
+``1 - (1 - (2/3)**2)**8``, 99 in 100, and always if the windows are equal. Windows that share no
+shingle with any template cannot match and are not hashed.
 
 A retrieved template matches if the text about the window, the template's length to either side,
 holds ``CONTAINMENT`` of its distinct shingles, compared as strings.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -90,10 +91,11 @@ def shingle_hashes(words: Column) -> Column:
 
 def band_hashes(window: Column) -> Column:
     """``BANDS`` hashes of a window's shingle hashes, each over ``ROWS`` MinHash values."""
-    least = [
-        F.array_min(F.transform(window, lambda h, seed=seed: F.xxhash64(h, F.lit(seed))))
-        for seed in range(BANDS * ROWS)
-    ]
+
+    def least_hash(seed: int) -> Column:
+        return F.array_min(F.transform(window, lambda h: F.xxhash64(h, F.lit(seed))))
+
+    least = [least_hash(seed) for seed in range(BANDS * ROWS)]
     return F.array(*[F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)])
 
 
@@ -112,6 +114,21 @@ def _templates(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     return known.withColumn("hashes", shingle_hashes(F.col("words")))
 
 
+def _windows(hashed: DataFrame, k: int) -> DataFrame:
+    """Overlapping windows of ``2**k`` shingles with a shingle of a template among them."""
+    size, step = 2**k, max(1, 2**k // 2)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("hashes") - size, F.lit(0)), F.lit(step))
+    near = F.filter(
+        starts, lambda start: F.exists(F.slice("hit", start + 1, F.lit(size)), lambda h: h)
+    )
+    return hashed.select("doc_id", "hashes", F.explode(near).alias("start")).select(
+        "doc_id",
+        F.lit(k).alias("k"),
+        "start",
+        F.slice("hashes", F.col("start") + 1, F.lit(size)).alias("window"),
+    )
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Matches: ``doc_id, template, containment, first_word``, the best place of each template."""
     known = _templates(docs.sparkSession, templates)
@@ -133,27 +150,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     )
     hashed = docs.select("doc_id", told.alias("t")).where(F.exists("t.hit", lambda h: h))
     hashed = stored(hashed.select("doc_id", "t.words", "t.hashes", "t.hit"))
-    spans = []
-    for k in sizes:
-        size, step = 2**k, max(1, 2**k // 2)
-        starts = F.sequence(
-            F.lit(0), F.greatest(F.size("hashes") - size, F.lit(0)), F.lit(step)
-        )
-        near = F.filter(
-            starts,
-            lambda s, size=size: F.exists(F.slice("hit", s + 1, F.lit(size)), lambda h: h),
-        )
-        spans.append(
-            hashed.select("doc_id", "hashes", F.explode(near).alias("start")).select(
-                "doc_id",
-                F.lit(k).alias("k"),
-                "start",
-                F.slice("hashes", F.col("start") + 1, F.lit(size)).alias("window"),
-            )
-        )
-    windows = spans[0]
-    for more in spans[1:]:
-        windows = windows.union(more)
+    windows = reduce(DataFrame.union, [_windows(hashed, k) for k in sizes])
     template_windows = known.select(
         "template",
         "k",
