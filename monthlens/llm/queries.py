@@ -123,5 +123,42 @@ from placed group by conv_id
 """
 
 
+_JACCARD_SQL = r"""
+with recursive texts as (
+    select doc_id,
+        list_filter(
+            string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'),
+            lambda w: w <> '') as words
+    from documents
+),
+sets as (
+    select doc_id,
+        case when len(words) >= 5 then list_distinct(list_transform(
+                 range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+             when len(words) > 0 then [array_to_string(words, ' ')]
+             else [] end as shingles
+    from texts
+),
+flat as (select doc_id, len(shingles) as n, unnest(shingles) as shingle from sets),
+shared as (
+    select a.doc_id as x, b.doc_id as y, any_value(a.n + b.n) as sizes, count(*) as n
+    from flat a join flat b on a.shingle = b.shingle and a.doc_id < b.doc_id
+    group by a.doc_id, b.doc_id
+),
+links as (select x, y from shared where 100 * n >= 80 * (sizes - n)),
+ways as (select x, y from links union all select y, x from links),
+reached(x, y) as (
+    select doc_id, doc_id from documents
+    union
+    select reached.x, ways.y from reached join ways on ways.x = reached.y
+)
+select sets.doc_id, len(shingles) as n_shingles, min(reached.y) as component_id
+from sets join reached on reached.x = sets.doc_id
+group by sets.doc_id, shingles
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": _CHAT_SQL}
+    return {"op3_jaccard_join": _JACCARD_SQL, "op6_chat_format": _CHAT_SQL}
