@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthlens.llm.shared import stored, text_or_empty, total
 
@@ -93,8 +93,8 @@ def token_pattern(least: int) -> str:
     )
 
 
-def randomness(token: Column) -> Column:
-    """The p-value of the battery for one token (a column of tokens without padding)."""
+def inferred(token: Column) -> Column:
+    """The encoding of a token without padding, its symbols, and their alphabet."""
     lower = F.lower(token)
     encoding = (
         F.when(token.rlike(r"^([0-9a-f]+|[0-9A-F]+)$"), "hex")
@@ -112,7 +112,7 @@ def randomness(token: Column) -> Column:
 def battery(tokens: DataFrame) -> DataFrame:
     """Adds ``p`` to rows with ``token``: three times the least p-value of the tests."""
     with_alphabet = tokens.withColumn(
-        "_e", randomness(F.rtrim(F.translate("token", "=", " ")))
+        "_e", inferred(F.rtrim(F.translate("token", "=", " ")))
     ).withColumn(
         "_v",
         F.transform(
@@ -173,8 +173,7 @@ def battery(tokens: DataFrame) -> DataFrame:
         F.col("_var") > 0, _normal_tail((covariance / F.col("_var") + 1 / n) * F.sqrt(n))
     ).otherwise(F.lit(0.0))
     p = F.least(F.lit(1.0), 3 * F.least(chi_p, runs_p, serial_p))
-    kept = [c for c in tokens.columns]
-    return measured.withColumn("p", F.greatest(p, F.lit(1e-300))).select(*kept, "p")
+    return measured.withColumn("p", F.greatest(p, F.lit(1e-300))).select(*tokens.columns, "p")
 
 
 BINS_PER_DECADE = 20
@@ -192,9 +191,7 @@ def rejection_bins(tokens: DataFrame, fdr: float) -> DataFrame:
     an upper p of at most ``fdr`` times its share of the class is rejected. At most 300 * 20 bins
     per class exist.
     """
-    from pyspark.sql import Window
-
-    per_bin = tokens.groupBy("length_class", "bin").agg(F.count("*").alias("n"))
+    per_bin = tokens.groupBy("length_class", "bin").agg(F.sum("times").alias("n"))
     whole = Window.partitionBy("length_class")
     up = whole.orderBy(F.desc("bin"))
     ranked = per_bin.select(
@@ -215,10 +212,8 @@ def scan(docs: DataFrame, least: int = 20, fdr: float = 0.05) -> DataFrame:
 
     ``kind`` counts along ``KINDS``. ``least``: characters of a token that is tested. Added spans
     that touch a base span are left out, as the base span says it already. Rows of one ``doc_id``
-    share their added spans only where their texts are the same; give rows ids of their own.
+    share their added spans, so they should hold one text; rows without id get base spans only.
     """
-    from pyspark.sql import Window  # noqa: F401
-
     text = docs.select("doc_id", text_or_empty().alias("text"))
     found = text.select(
         "doc_id",
@@ -242,12 +237,7 @@ def scan(docs: DataFrame, least: int = 20, fdr: float = 0.05) -> DataFrame:
 
 
 def _with_added(found: DataFrame, tested: DataFrame, fdr: float) -> DataFrame:
-    cuts = rejection_bins(
-        tested.groupBy("length_class", "bin").agg(F.sum("times").alias("n")).select(
-            "length_class", "bin", "n"
-        ),
-        fdr,
-    )
+    cuts = rejection_bins(tested, fdr)
     random_tokens = (
         tested.join(cuts, "length_class", "left")
         .where(F.col("least_rejected").isNull() | (F.col("bin") < F.col("least_rejected")))
