@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ from monthlens.llm.shared import text_or_empty
 
 MARK = "▁"
 #: parts kept per worker, and judged pairs
-PARTS = 300_000
+PARTS = 800_000
 PAIRS = 1_000_000
 _UNKNOWN_PENALTY = 10.0
 
@@ -66,14 +67,40 @@ class Machine:
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type in normal}
         self.weight = {p.piece: -p.score for p in proto.pieces if p.type in normal}
         self.unknown = max(self.weight.values()) + _UNKNOWN_PENALTY
-        self.longest = max(map(len, self.ids))
-        inner = any(MARK in piece.lstrip(MARK) for piece in self.ids)
-        alphabet = "".join(map(re.escape, sorted({c for p in self.ids for c in p} - {MARK})))
-        self.split = re.compile(
-            r"(?s).+" if inner else rf"{MARK}*[{alphabet}]+|{MARK}+|[^{MARK}{alphabet}]"
-        )
+        # the piece machine: its id times 4, plus 1, for a piece, and 2 where a longer one goes on
+        self.states: dict[str, int] = {piece: i << 2 | 1 for piece, i in self.ids.items()}
+        for piece in self.ids:
+            for n in range(1, len(piece)):
+                self.states[piece[:n]] = self.states.get(piece[:n], 0) | 2
+        self.raw = [
+            bytes([self.byte_of[i]]) if i in self.byte_of else p.replace(MARK, " ").encode()
+            for i, p in enumerate(self.pieces)
+        ]
+        self.split = self._splitter()
         self._parts: dict[str, tuple[int, ...]] = {}
-        self._allowed: dict[tuple[str, str], bool] = {}
+        self._allowed: dict[int, bool] = {}
+
+    def _splitter(self) -> re.Pattern:
+        """Parts of a text that no piece reaches over.
+
+        If no piece has a mark behind another character, a part begins at marks. Letters are
+        those that no piece follows up with another sign, so a part also begins behind letters.
+        Characters that no piece has are parts of their own.
+        """
+        pairs = {pair for piece in self.ids for pair in zip(piece[:-1], piece[1:], strict=True)}
+        if any(b == MARK != a for a, b in pairs):
+            return re.compile("(?s).+")
+        alphabet = {c for piece in self.ids for c in piece} - {MARK}
+        letters = {c for c in alphabet if c.isalpha()}
+        while joined := {a for a, b in pairs if a in letters and b in alphabet - letters}:
+            letters -= joined
+        letter, sign, both = (
+            "".join(map(re.escape, sorted(some))) for some in (letters, alphabet - letters, alphabet)
+        )
+        starts = f"{MARK}*[{sign}]*" if sign else f"{MARK}*"
+        words = [f"{starts}[{letter}]+"] if letter else []
+        signs = [f"{MARK}*[{sign}]+"] if sign else []
+        return re.compile("|".join([*words, *signs, f"{MARK}+", f"[^{MARK}{both}]"]))
 
     def _merged(self, text: str) -> list[str]:
         """The pieces of a short string by merging, best score first, leftmost among equals."""
@@ -90,49 +117,97 @@ class Machine:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def allowed(self, a: str, b: str) -> bool:
-        """Whether the acceptor has the pair; ``a`` is empty at the beginning."""
-        key = (a, b)
+    def allowed(self, a: int, b: int) -> bool:
+        """Whether the acceptor has the pair of ids; ``a`` is -1 at the beginning."""
+        key = (a + 1) * len(self.pieces) + b
         known = self._allowed.get(key)
         if known is None:
             if len(self._allowed) >= PAIRS:
                 self._allowed.clear()
-            known = self._allowed[key] = self._merged(a + b) == ([a, b] if a else [b])
+            pair = [self.pieces[i] for i in (a, b) if i >= 0]
+            known = self._allowed[key] = self._merged("".join(pair)) == pair
         return known
 
-    def shortest_path(self, part: str) -> list[str]:
-        """The pieces of the shortest path through the composition with ``part``."""
+    def _arcs(self, part: str, begin: int) -> list[tuple[int, int]]:
+        """(end, id) of the pieces that begin at a position, the longest last."""
+        states, found = self.states, []
+        for end in range(begin + 1, len(part) + 1):
+            state = states.get(part[begin:end], 0)
+            if state & 1:
+                found.append((end, state >> 2))
+            if not state & 2:
+                break
+        return found
+
+    def _least_path(self, part: str) -> list[int]:
+        """Position by position, as all arcs into one come from earlier ones."""
         n = len(part)
-        cost = [0.0] + [np.inf] * n
-        last = [""] * (n + 1)
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - self.longest), end):
-                piece = part[begin:end]
-                weight = self.weight.get(piece)
-                if weight is None:
-                    if begin + 1 < end:
-                        continue
-                    weight = self.unknown
-                if self.bpe:
-                    if last[begin] == "" and begin or not self.allowed(last[begin], piece):
-                        continue
-                    cost[end], last[end] = cost[begin] + weight, piece
-                    break
+        cost = [0.0] + [math.inf] * n
+        last: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        for begin in range(n):
+            # a character without a piece is written in bytes
+            bytes_arc = (begin + 1, -1 - ord(part[begin]))
+            for end, piece in (bytes_arc, *self._arcs(part, begin)):
+                weight = self.weight[self.pieces[piece]] if piece >= 0 else self.unknown
                 if cost[begin] + weight < cost[end]:
-                    cost[end], last[end] = cost[begin] + weight, piece
+                    cost[end], last[end] = cost[begin] + weight, (begin, piece)
         path = []
         while n:
-            path.append(last[n])
-            n -= len(last[n])
+            n, piece = last[n]
+            path.append(piece)
         return path[::-1]
 
+    def _only_path(self, part: str) -> list[int]:
+        """The one path of allowed pairs. Long pieces are tried first; a state without a way on
+        (a position and the piece before it) is not entered again."""
+        n, known, size = len(part), self._allowed, len(self.pieces)
+        path: list[int] = []
+        ends = [0]
+        arcs_at = [self._arcs(part, 0)]
+        dead: set[tuple[int, int]] = set()
+        at, before = 0, -1
+        while at < n:
+            arcs = arcs_at[-1]
+            while arcs:
+                end, piece = arcs.pop()
+                good = known.get((before + 1) * size + piece)
+                if good is None:
+                    good = self.allowed(before, piece)
+                if good and (not dead or (end, piece) not in dead):
+                    path.append(piece)
+                    ends.append(end)
+                    arcs_at.append(self._arcs(part, end))
+                    break
+            else:
+                dead.add((at, before))
+                arcs_at.pop()
+                ends.pop()
+                path.pop()
+            at, before = ends[-1], path[-1] if path else -1
+        return path
+
+    def _merged_path(self, part: str) -> list[int]:
+        """For parts with a character that only longer pieces have."""
+        return [self.ids.get(p, -1 - ord(p[0])) for p in self._merged(part)]
+
+    def shortest_path(self, part: str) -> list[int]:
+        """Ids along the shortest path through the composition with ``part``.
+
+        A character written in bytes is -1 less its code.
+        """
+        if not self.bpe:
+            return self._least_path(part)
+        if all(c in self.ids for c in part):
+            return self._only_path(part)
+        return self._merged_path(part)
+
     def _part_ids(self, part: str) -> tuple[int, ...]:
         ids: list[int] = []
         for piece in self.shortest_path(part):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
+            if piece >= 0:
+                ids.append(piece)
             else:
-                ids.extend(self.byte_id[b] for b in piece.encode())
+                ids.extend(self.byte_id[b] for b in chr(-1 - piece).encode())
         if len(self._parts) >= PARTS:
             self._parts.clear()
         self._parts[part] = found = tuple(ids)
@@ -151,15 +226,9 @@ class Machine:
 
     def decode(self, ids: list[int]) -> str:
         """The inverse transducer."""
-        raw = bytearray()
-        for i in ids:
-            byte = self.byte_of.get(i)
-            if byte is None:
-                raw += self.pieces[i].replace(MARK, " ").encode()
-            else:
-                raw.append(byte)
+        raw = b"".join([self.raw[i] for i in ids])
         if self.prefix and raw[:1] == b" ":
-            del raw[:1]
+            raw = raw[1:]
         return raw.decode(errors="replace")
 
 
@@ -218,7 +287,7 @@ def digests(docs: DataFrame, model: bytes) -> DataFrame:
                 ids = transducer.encode(text)
                 rows["doc_id"].append(doc_id)
                 rows["n_ids"].append(len(ids))
-                rows["ids_sha256"].append(hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest())
+                rows["ids_sha256"].append(hashlib.sha256(np.array(ids, "<i4")).hexdigest())
                 rows["round_trip"].append(transducer.decode(ids) == text)
             types = (batch.schema.field("doc_id").type, pa.int64(), pa.string(), pa.bool_())
             yield pa.record_batch(

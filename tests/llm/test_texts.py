@@ -60,6 +60,27 @@ def test_tables_of_a_worker_are_bounded(monkeypatch):
     assert len(transducer._allowed) <= 3
 
 
+def test_least_path_of_a_unigram_model():
+    """Without pairs to obey, the path with the least sum of weights, by trying all."""
+    transducer = pieces.Machine(pieces.read_model(MODEL))
+    transducer.bpe = False
+
+    def all_paths(part):
+        if not part:
+            yield 0.0
+        for n in range(1, len(part) + 1):
+            weight = transducer.weight.get(part[:n], transducer.unknown if n == 1 else None)
+            if weight is not None:
+                yield from (weight + rest for rest in all_paths(part[n:]))
+
+    for part in ("▁banana", "▁unigrams", "\u0378a"):
+        path = transducer.shortest_path(part)
+        cost = sum(
+            transducer.weight[transducer.pieces[i]] if i >= 0 else transducer.unknown for i in path
+        )
+        assert cost == pytest.approx(min(all_paths(part)))
+
+
 # --- quality
 
 
