@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from monthlens.llm.rawtext import (
     PACKED,
     Rolling,
+    few_rows,
     flat,
     lower_ascii,
     mix,
@@ -124,7 +125,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         ids = batch.column("doc_id").to_numpy()
         tokens, rows, classes, lengths = [], [], [], []
         for i, shingles in shingle_sets(batch):
@@ -145,7 +146,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in map(unpacked, batches):
+    for batch in unpacked(batches):
         ids = batch.column("doc_id").to_numpy()
         for part in slices(batch.append_column("row", pa.array(np.arange(batch.num_rows)))):
             rows = part.column("row").to_numpy()
@@ -361,7 +362,7 @@ def _join_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     last = None
-    for batch in map(unpacked, batches):
+    for batch in unpacked(batches):
         names = [batch.column(c).to_pylist() for c in ("cell", "part")]
         ids, settled = (batch.column(c).to_pylist() for c in ("doc_id", "settled"))
         for i, shingles in shingle_sets(batch):
@@ -387,7 +388,7 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell, chunk and pivot first: each row's ring about the chunk's pivot."""
     pivot: np.ndarray | None = None
-    for batch in map(unpacked, batches):
+    for batch in unpacked(batches):
         rows: dict[str, list] = {"cell": [], "pivot": [], "doc_id": [], "ring": []}
         cell, ids, is_pivot, pivots = (
             batch.column(c).to_pylist() for c in ("cell", "doc_id", "is_pivot", "pivot")

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from monthlens.llm.rawtext import few_rows
 from monthlens.llm.shared import text_or_empty
 
 MARK = "▁"
@@ -249,14 +250,12 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = machine(model)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                ids = [transducer.encode(text) for text in part.column("text").to_pylist()]
-                yield pa.record_batch(
-                    [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
-                    names=["doc_id", "ids"],
-                )
+        for batch in few_rows(batches):
+            ids = [transducer.encode(text) for text in batch.column("text").to_pylist()]
+            yield pa.record_batch(
+                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
+                names=["doc_id", "ids"],
+            )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_or_empty().alias("text"))
@@ -268,7 +267,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = machine(model)
-        for batch in batches:
+        for batch in few_rows(batches):
             texts = [transducer.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(texts)], names=["doc_id", "text"])
 
@@ -281,7 +280,7 @@ def digests(docs: DataFrame, model: bytes) -> DataFrame:
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = machine(model)
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = {"doc_id": [], "n_ids": [], "ids_sha256": [], "round_trip": []}
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = transducer.encode(text)

@@ -93,6 +93,13 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         begin = end
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, where rows are to become Python objects."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     upper = (data >= 65) & (data <= 90)
     return data + (upper.astype(np.uint8) << 5)
@@ -123,7 +130,7 @@ PACKED = "doc_id long, packed binary"
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text`` to ``doc_id, packed``: compressed texts, to be shuffled."""
     compressor = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in few_rows(batches):
         texts = batch.column("text").to_pylist()
         packed = [compressor.compress((text or "").encode()) for text in texts]
         yield pa.record_batch(
@@ -131,9 +138,10 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``packed`` as ``text`` again, as bytes; other columns as they are."""
     decompressor = zstandard.ZstdDecompressor()
-    at = batch.schema.get_field_index("packed")
-    texts = [decompressor.decompress(p) for p in batch.column(at).to_pylist()]
-    return batch.set_column(at, "text", pa.array(texts, pa.binary()))
+    for batch in few_rows(batches):
+        at = batch.schema.get_field_index("packed")
+        texts = [decompressor.decompress(p) for p in batch.column(at).to_pylist()]
+        yield batch.set_column(at, "text", pa.array(texts, pa.binary()))

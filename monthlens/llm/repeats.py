@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from monthlens.llm.rawtext import Rolling, flat, signed
+from monthlens.llm.rawtext import Rolling, few_rows, flat, signed
 from monthlens.llm.shared import stored
 
 WINDOW = 100
@@ -134,7 +134,7 @@ _BYTES_SCHEMA = "gram long, doc_id long, start long, windows int, bytes binary"
 
 
 def _block_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         data, offsets = flat(batch.column("text"))
         raw = data.tobytes()
         ids = batch.column("doc_id").to_pylist()
@@ -240,7 +240,7 @@ _WINDOW_SCHEMA = "w1 long, w2 long, doc_id long, start long"
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches, 1024):
         data, offsets = flat(batch.column("bytes"))
         if not len(data):
             continue
@@ -345,7 +345,7 @@ _RESULT_SCHEMA = (
 
 
 def _finish(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         rows = {name: [] for name in _RESULT_SCHEMA.replace(",", "").split()[::2]}
         for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = (text or "").encode()
