@@ -339,49 +339,52 @@ def _whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return [(a, b) for a, b in shrunk if a < b]
 
 
-_RESULT_SCHEMA = (
-    "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
-)
+_RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _finish(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in few_rows(batches):
-        rows = {name: [] for name in _RESULT_SCHEMA.replace(",", "").split()[::2]}
+        rows = []
         for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = (text or "").encode()
             merged = _merged(spans)
-            rows["doc_id"].append(doc_id)
-            rows["n_bytes"].append(len(raw))
-            rows["n_removed"].append(sum(b - a for a, b in merged))
-            rows["n_spans"].append(len(merged))
-            rows["kept_sha256"].append(hashlib.sha256(_kept(raw, merged)).hexdigest())
-            rows["kept_text"].append(
-                _kept(raw, _whole_characters(raw, merged)).decode() if with_text else None
-            )
-        schema = pa.schema(
-            [(n, pa.string() if n in ("kept_sha256", "kept_text") else pa.int64()) for n in rows]
-        )
-        yield pa.record_batch(rows, schema=schema)
+            removed = sum(end - begin for begin, end in merged)
+            digest = hashlib.sha256(_kept(raw, merged)).hexdigest()
+            rows.append((doc_id, len(raw), removed, len(merged), digest))
+        names = _RESULT_SCHEMA.replace(",", "").split()[::2]
+        types = [pa.int64()] * 4 + [pa.string()]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+        yield pa.record_batch(columns, names=names)
 
 
-def _results(docs: DataFrame, with_text: bool) -> DataFrame:
-    spans = (
-        repeated_spans(docs)
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    )
-    joined = _texts(docs).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(lambda batches: _finish(batches, with_text), _RESULT_SCHEMA)
+def _spans_per_document(docs: DataFrame, name: str) -> DataFrame:
+    spans = repeated_spans(docs).groupBy("doc_id")
+    return spans.agg(F.collect_list(F.struct("begin", "end")).alias(name))
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
     """Per document: bytes, removed bytes and runs, and the digest of what is left."""
-    return _results(docs, with_text=False).drop("kept_text")
+    joined = _texts(docs).join(_spans_per_document(docs, "spans"), "doc_id", "left")
+    return joined.select("doc_id", "text", "spans").mapInArrow(_reported, _RESULT_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with later copies cut from ``text``; ranges are cut at whole characters."""
-    kept = _results(docs, with_text=True).where("n_removed > 0").select("doc_id", "kept_text")
-    kept = kept.dropDuplicates(["doc_id"])
-    text = F.when(F.col("kept_text").isNotNull(), F.col("kept_text")).otherwise(F.col("text"))
-    return docs.join(kept, "doc_id", "left").withColumn("text", text).select(*docs.columns)
+    spans = "_repeated_spans"
+    names = docs.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            texts = []
+            for text, found in zip(
+                batch.column("text").to_pylist(), batch.column(spans).to_pylist(), strict=True
+            ):
+                if found:
+                    raw = text.encode()
+                    text = _kept(raw, _whole_characters(raw, _merged(found))).decode()
+                texts.append(text)
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(names)
+
+    joined = docs.join(_spans_per_document(docs, spans), "doc_id", "left")
+    return joined.select(*names, spans).mapInArrow(cut, docs.schema)
