@@ -1,9 +1,9 @@
 """License scan with Spark expressions only: MinHash bands, then exact shingle containment.
 
 Words are runs of letters and digits, in lower case; shingles are five words. A template of ``s``
-shingles belongs to the window size ``2**k``, the greatest with ``1.5 * 2**k <= s + 1``. Text windows
-of that size step by half of it, so one lies wholly inside any copy of the template; the template's
-own windows step by one, so one of them is equal to it if the copy is verbatim. A copy with
+shingles belongs to the window size ``2**k``, the greatest with ``1.5 * 2**k <= s + 1``. Text
+windows of that size step by half of it, so one lies wholly inside any copy of the template; the
+template's own windows step by one, so one of them is equal to it if the copy is verbatim. A copy with
 ``CONTAINMENT`` of the shingles has a window with a similarity of 0.8 / 1.2 or more to one of the
 template's; ``BANDS`` bands of ``ROWS`` hashes collide with a probability of
 ``1 - (1 - (2/3)**2)**8``, 99 in 100, and always if the windows are equal. Windows that share no

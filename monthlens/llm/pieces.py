@@ -3,8 +3,8 @@
 A model file is compiled into three machines. The *normaliser* maps a blank to the word mark and
 puts one before the text. The *piece* machine is the set of pieces with the weight -score each, plus
 arcs for characters outside the vocabulary, which the *byte fallback* writes as byte pieces.
-The machines are composed with an input lazily: a state is a position, an arc a piece that ends
-there, and the shortest path in the tropical semiring (sums of weights, least first) is the encoding.
+The machines are composed with an input lazily: a state is a position, an arc a piece that begins
+there, and the shortest path in the tropical semiring (least sum of weights) is the encoding.
 
 In a unigram model the least sum of weights is all there is. A BPE model merges by score instead,
 which a sum of weights cannot say, so its piece machine is composed with an acceptor of adjacent
@@ -54,7 +54,7 @@ class Machine:
         kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
         spec = proto.normalizer_spec
         if spec.precompiled_charsmap or spec.remove_extra_whitespaces:
-            raise ValueError("this model rewrites characters or blanks before it encodes")
+            raise ValueError("this model rewrites characters or blanks")
         self.prefix = spec.add_dummy_prefix
         self.bpe = proto.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
         self.pieces = [p.piece for p in proto.pieces]

@@ -8,9 +8,9 @@ concentration steps from a deterministic start (medians and median deviations):
 if its squared Mahalanobis distance is beyond ``CUTOFF``.
 
 Quantiles come from histograms with bins of fixed width, so each step is one aggregation with
-partial sums per group, whatever the size of a group. Groups with fewer than ``LEAST_ROWS`` rows are pooled by
-language, and languages with fewer all together; if that is still too few, no row of it is
-rejected. Covariances get the variances ``FLOOR`` squared added, as most texts have no
+partial sums per group, whatever the size of a group. Groups with fewer than ``LEAST_ROWS`` rows
+are pooled by language, and languages with fewer all together; if that is still too few, no row
+of it is rejected. Covariances get the variances ``FLOOR`` squared added, as most texts have no
 symbol or repeated line at all and a spread of nothing would reject all others.
 
 Defined cases: a null or empty text has no words and fails the bounds; null languages and sources
@@ -217,12 +217,14 @@ def _start(rows: DataFrame) -> DataFrame:
     )
     spread = _quantile(off, F.col("x"), 0.5, 0.01)
     floors = F.array(*[F.lit(float(f)) for f in FLOORS])
+    least = F.pow(F.get(floors, F.col("cell.feature")), F.lit(2.0))
+    variance = F.pow(1.4826 * F.col("edge"), F.lit(2.0)) + least
     both = medians.join(spread, "cell").select(
         F.col("cell.cell").alias("cell"),
         F.struct(
             F.col("cell.feature").alias("i"),
             F.col("median"),
-            (1 / (F.pow(1.4826 * F.col("edge"), F.lit(2.0)) + F.pow(F.get(floors, F.col("cell.feature")), F.lit(2.0)))).alias("v"),
+            (1 / variance).alias("v"),
         ).alias("f"),
     )
     p = len(NAMES)
