@@ -38,7 +38,7 @@ def load_logins(
     out.overwrite_month(kept, logins, None, params.label, partition="month_time")
     malformed = src.malformed_days(etl.in_month(raw, params), "recordtime").first().malformed
     if malformed:
-        log.warning("%s: %s logins have no day and count in no daily figure", params.label, malformed)
+        log.warning("%s: %s logins have no day, and count in no day", params.label, malformed)
     return malformed
 
 
