@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from monthlens.llm.rawtext import (
     PACKED,
@@ -48,8 +48,10 @@ from monthlens.llm.rawtext import (
     lower_ascii,
     mix,
     pack,
+    pack_text,
     signed,
     slices,
+    unpack_text,
     unpacked,
     words,
 )
@@ -564,5 +566,9 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document, the one with the smallest id, of each component."""
     kept = near_components(docs).where("doc_id = component_id")
     kept = kept.select("doc_id").where("doc_id is not null").distinct()
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return with_id.unionByName(docs.where("doc_id is null"))
+    packed = T.StructType(
+        [T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema]
+    )
+    with_id = docs.where("doc_id is not null").mapInArrow(pack_text, packed)
+    with_id = with_id.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return with_id.mapInArrow(unpack_text, docs.schema).unionByName(docs.where("doc_id is null"))
