@@ -55,9 +55,8 @@ def narrow_blocks(blocks: DataFrame) -> DataFrame:
 def lookup_sizes(blocks: DataFrame) -> tuple[int, int]:
     """Bytes, about, of the two lookup tables; an error if blocks overlap.
 
-    One job adds up the rows without building them and looks for overlap after the cut: a whole
-    network in two blocks, a whole network with parts of others, and parts of one /24 network
-    that begin before the part before them has ended.
+    One job adds up the rows without building them and looks for overlap after the cut: within a
+    /16 network, a part that begins before the one before it has ended.
     """
     wide, head, tail = (
         f"sum(if({lo} <= {hi}, shiftright({hi}, {bits}) - shiftright({lo}, {bits}) + 1, 0))"
@@ -69,19 +68,25 @@ def lookup_sizes(blocks: DataFrame) -> tuple[int, int]:
         f"coalesce({head} + {tail}, 0L) as narrow",
         "coalesce(max(octet_length(cc)), 0) as width",
     )
-    networks = wide_blocks(blocks).groupBy("wide").agg(F.count(F.lit(1)).alias("n"))
-    parts = narrow_blocks(blocks).withColumn("wide", F.expr("shiftright(narrow, 8)"))
-    order = Window.partitionBy("narrow").orderBy("lo", "hi")
-    behind = parts.withColumn("before", F.lag("hi").over(order)).where("before >= lo")
-    found = [
-        networks.where("n > 1").select("wide"),
-        parts.join(networks.select("wide"), "wide", "left_semi").select("wide"),
-        behind.select("wide"),
-    ]
-    for overlap in found:
-        none = overlap.agg(F.count(F.lit(1)).alias("overlaps"))
-        sizes = sizes.union(none.selectExpr("overlaps", "0L", "0L", "0"))
-    row = sizes.selectExpr("sum(overlaps) o", "sum(wide) w", "sum(narrow) n", "max(width) l").first()
+    # a block's part of each of its networks; a whole one is there once for all of them
+    parts = _cut(blocks).selectExpr(
+        "inline(array(struct(lo, head_hi as hi), struct(tail_lo as lo, hi),"
+        " struct(first * 65536L as lo, (last + 1) * 65536L - 1 as hi)))"
+    )
+    nets = parts.where("lo <= hi").selectExpr(
+        "lo", "hi", "explode(sequence(shiftright(lo, 16), shiftright(hi, 16))) as net"
+    )
+    cut = nets.selectExpr(
+        "net", "greatest(lo, net * 65536L) as lo", "least(hi, net * 65536L + 65535L) as hi"
+    )
+    order = Window.partitionBy("net").orderBy("lo", "hi")
+    behind = cut.withColumn("before", F.lag("hi").over(order)).where("before >= lo")
+    none = behind.agg(F.count(F.lit(1)).alias("overlaps")).selectExpr("overlaps", "0L", "0L", "0")
+    row = (
+        sizes.union(none)
+        .selectExpr("sum(overlaps) o", "sum(wide) w", "sum(narrow) n", "max(width) l")
+        .first()
+    )
     if row.o:
         raise ValueError("address blocks overlap")
     return row.w * (_ROW_BYTES + row.l), row.n * (_ROW_BYTES + row.l)
