@@ -55,7 +55,7 @@ from monthlens.llm.rawtext import (
     unpacked,
     words,
 )
-from monthlens.llm.shared import stored
+from monthlens.llm.shared import release_shuffles, stored
 
 SHINGLE = 5
 CROWD = 600
@@ -545,7 +545,9 @@ def near_components(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("long"), "text")
     sets = stored(ids.mapInArrow(_sets, "doc_id long, n_shingles long, class long"))
     near = near_classes(docs, sets)
+    release_shuffles(docs.sparkSession)
     edges = connecting_links(near)
+    release_shuffles(docs.sparkSession)
     labels = components(edges)
     classes = (
         sets.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("node"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from monthlens.llm.rawtext import Rolling, few_rows, flat, signed
-from monthlens.llm.shared import stored
+from monthlens.llm.shared import release_shuffles, stored
 
 WINDOW = 100
 GRAM = 32
@@ -263,6 +263,7 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Byte ranges that are later copies: ``doc_id, begin, end``; they may overlap."""
     found = stored(candidates(docs))
+    release_shuffles(docs.sparkSession)
     classes = found.groupBy("gram", "block").agg(
         F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")
     )

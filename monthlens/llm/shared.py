@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -35,6 +36,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files that no frame needs any more.
+
+    By itself it notices them when the driver's memory is collected, every half hour at the latest.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
