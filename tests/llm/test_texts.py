@@ -341,6 +341,31 @@ def test_toxicity(spark, documents):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in rows.items() if not r["predicted"]}
 
 
+def test_telling_words_of_small_groups():
+    """Words of 2% of the toxic documents, of three letters, and in text without blanks."""
+    rnd = random.Random(12)
+    letters = "".join(chr(0x4E00 + i) for i in range(400))
+
+    def text(i, toxic):
+        if i % 10 == 0:  # no blanks
+            run = "".join(rnd.choice(letters) for _ in range(120))
+            return run[:50] + "\u574f\u86cb\u4e1c" + run[50:] if toxic else run
+        words = ["".join(rnd.choice("aeionrst") for _ in range(rnd.randint(2, 7))) for _ in range(60)]
+        if toxic:
+            words[20:20] = ["vilething"] if i % 50 == 1 else ["foulmouth"] if i % 3 else ["zqx"] * 2
+        return " ".join(words)
+
+    toxic, ordinary = [text(i, True) for i in range(400)], [text(i, False) for i in range(2000)]
+    found = toxicity.toxic_segments(toxic, ordinary)
+    for telling in ("vilething", "foulmouth", " zqx ", "\u574f\u86cb"):
+        assert any(telling in s or s.strip() in telling for s in found), telling
+    scorer = toxicity.Scorer(toxicity.Model(*toxicity.train_dictionaries(toxic, ordinary)))
+    told = [scorer.features(t)[0] > 0 for t in toxic]
+    assert all(told[i] for i in range(400) if i % 10 == 0 or i % 50 == 1 or i % 3)
+    assert sum(told) >= 350  # not every window with a word of three letters gets shorter
+    assert not any(scorer.features(t)[0] > 0 for t in ordinary[:200])
+
+
 def test_nothing_to_learn_from(documents, spark):
     docs = documents(["some text", None])
     none = spark.createDataFrame([], "doc_id long, toxic int")
