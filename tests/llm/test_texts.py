@@ -366,6 +366,41 @@ def test_telling_words_of_small_groups():
     assert not any(scorer.features(t)[0] > 0 for t in ordinary[:200])
 
 
+def test_calibration_is_that_of_all_rows(spark, documents, monkeypatch):
+    """A bounded sample of each class leaves the share of toxic documents as it is."""
+    docs, labels = _labelled(spark, documents)
+    long = documents([(5005, " ".join(["aeion rsat"] * 1500 + ["wretchword"] * 3 + ["noi"] * 1500))])
+    docs = docs.unionByName(long)
+    labels = labels.unionByName(spark.createDataFrame([(5005, 1)], labels.schema))
+    assert docs.where(toxicity.fold() == 2).where("doc_id = 5005").count() == 1
+    model = toxicity.train(docs, labels)
+    x, y, times = toxicity.calibration_rows(docs, labels, model)
+    assert set(times) == {1.0}
+    whole = toxicity.Scorer(model).features(long.first()["text"])
+    assert whole in x.tolist()  # not of SAMPLE_WORDS words
+    monkeypatch.setattr(toxicity, "SAMPLE", 50)
+    some_x, some_y, some_times = toxicity.calibration_rows(docs, labels, model)
+    assert Counter(some_y) == {0.0: 50, 1.0: 50}
+    for toxic in (0, 1):
+        assert some_times[some_y == toxic].sum() == pytest.approx((y == toxic).sum())
+
+
+def test_weights_undo_the_sampling():
+    rnd = np.random.default_rng(13)
+    y = (rnd.random(40000) < 0.1).astype(float)
+    x = np.stack([rnd.normal(size=len(y)) + 1.5 * y, np.ones(len(y))], axis=1)
+    every = toxicity._logistic(x, y, np.ones(len(y)))
+    some = np.concatenate([np.flatnonzero(y == 0)[:3000], np.flatnonzero(y == 1)[:3000]])
+    times = np.where(y[some] == 1, y.sum(), (1 - y).sum()) / 3000
+    weights = toxicity._logistic(x[some], y[some], times)
+    assert weights == pytest.approx(every, abs=0.15)
+    cut = [
+        toxicity._best_cut(1 / (1 + np.exp(-a @ w)), b, t)
+        for a, b, w, t in ((x, y, every, np.ones(len(y))), (x[some], y[some], weights, times))
+    ]
+    assert cut[1] == pytest.approx(cut[0], abs=0.1)
+
+
 def test_nothing_to_learn_from(documents, spark):
     docs = documents(["some text", None])
     none = spark.createDataFrame([], "doc_id long, toxic int")
