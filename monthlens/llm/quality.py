@@ -32,8 +32,8 @@ from monthlens.llm.shared import stored, total
 COVERAGE = 0.75
 STEPS = 6
 LEAST_ROWS = 200
-#: the 0.99999 quantile of chi-squared with five degrees of freedom, and its median
-CUTOFF = 30.856
+#: the 0.999 quantile of chi-squared with five degrees of freedom, and its median
+CUTOFF = 20.515
 CHI_MEDIAN = 4.3515
 #: the vector: name, least standard deviation
 FEATURES = (

@@ -106,6 +106,20 @@ def test_counts_and_outliers(documents):
     assert not any(rows[i]["kept"] for i in range(420, len(texts)))
 
 
+def test_outliers_of_one_feature(documents):
+    """Some 0.36 symbols a word are enough alone."""
+    rnd = random.Random(14)
+    words = ["".join(rnd.choice("abcdefghijk") for _ in range(rnd.randint(3, 8))) for _ in range(900)]
+    texts = [_prose(rnd, rnd.randint(90, 110), words) for _ in range(600)]
+    for _ in range(6):
+        plain = _prose(rnd, 100, words).split()
+        texts.append(" ".join("#" + w[1:] if i % 14 < 5 else w for i, w in enumerate(plain)))
+    rows = {r["doc_id"]: r for r in quality.verdicts(documents(texts)).collect()}
+    assert not any(rows[i]["base_failed"] for i in range(len(texts)))
+    assert sum(not rows[i]["kept"] for i in range(600)) <= 6
+    assert not any(rows[i]["kept"] for i in range(600, len(texts)))
+
+
 def test_too_few_rows_are_not_judged(documents):
     texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(5)]
     assert all(r["kept"] for r in quality.verdicts(documents(texts)).collect())
