@@ -25,7 +25,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from monthlens.llm.shared import stored, text_or_empty
+from monthlens.llm.shared import row_key, stored, text_or_empty
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -121,8 +121,8 @@ def _windows(hashed: DataFrame, k: int) -> DataFrame:
     near = F.filter(
         starts, lambda start: F.exists(F.slice("hit", start + 1, F.lit(size)), lambda h: h)
     )
-    return hashed.select("doc_id", "hashes", F.explode(near).alias("start")).select(
-        "doc_id",
+    return hashed.select("row_key", "hashes", F.explode(near).alias("start")).select(
+        "row_key",
         F.lit(k).alias("k"),
         "start",
         F.slice("hashes", F.col("start") + 1, F.lit(size)).alias("window"),
@@ -130,7 +130,10 @@ def _windows(hashed: DataFrame, k: int) -> DataFrame:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """Matches: ``doc_id, template, containment, first_word``, the best place of each template."""
+    """Matches: ``doc_id, template, containment, first_word``, the best place of each template.
+
+    ``row_key`` stands for the id, or for the text of rows without id, which are told apart by it.
+    """
     known = _templates(docs.sparkSession, templates)
     # the templates are an argument, so this is bounded by what the caller passed in
     every_hash = [
@@ -148,8 +151,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
             ),
         ),
     )
-    hashed = docs.select("doc_id", told.alias("t")).where(F.exists("t.hit", lambda h: h))
-    hashed = stored(hashed.select("doc_id", "t.words", "t.hashes", "t.hit"))
+    keyed = docs.select("doc_id", row_key().alias("row_key"), told.alias("t"))
+    hashed = keyed.where(F.exists("t.hit", lambda h: h))
+    hashed = stored(hashed.select("doc_id", "row_key", "t.words", "t.hashes", "t.hit"))
     windows = reduce(DataFrame.union, [_windows(hashed, k) for k in sizes])
     template_windows = known.select(
         "template",
@@ -165,18 +169,18 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
         "template", "k", F.explode(band_hashes(F.col("window"))).alias("band")
     ).distinct()
     retrieved = (
-        windows.select("doc_id", "k", "start", F.explode(band_hashes(F.col("window"))).alias("band"))
+        windows.select("row_key", "k", "start", F.explode(band_hashes(F.col("window"))).alias("band"))
         .join(template_bands, ["k", "band"])
-        .groupBy("doc_id")
+        .groupBy("row_key")
         .agg(F.collect_set(F.struct("template", "start")).alias("places"))
     )
     # verification, by strings, about each retrieved place
     lengths = known.select("template", "shingles")
     places = (
-        hashed.dropDuplicates(["doc_id"])
-        .join(retrieved, "doc_id")
-        .select("doc_id", "words", F.explode("places").alias("p"))
-        .select("doc_id", "words", F.col("p.template").alias("template"), F.col("p.start").alias("at"))
+        hashed.dropDuplicates(["row_key"])
+        .join(retrieved, "row_key")
+        .select("doc_id", "row_key", "words", F.explode("places").alias("p"))
+        .select("doc_id", "row_key", "words", F.col("p.template").alias("template"), F.col("p.start").alias("at"))
         .join(lengths, "template")
     )
     begin = F.greatest(F.col("at") - F.size("shingles"), F.lit(0))
@@ -196,14 +200,15 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
         )
     )
     verified = places.select(
-        "doc_id", "template", shared.alias("containment"), first.alias("first_word")
+        "doc_id", "row_key", "template", shared.alias("containment"), first.alias("first_word")
     ).where(F.col("containment") >= CONTAINMENT)
     best = F.max(F.struct("containment", (-F.col("first_word")).alias("place")))
     return (
-        verified.groupBy("doc_id", "template")
+        verified.groupBy("doc_id", "row_key", "template")
         .agg(best.alias("best"))
         .select(
             "doc_id",
+            "row_key",
             "template",
             F.col("best.containment").alias("containment"),
             (-F.col("best.place")).alias("first_word"),
@@ -215,10 +220,10 @@ def report(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Per document: how many templates match, and their names in order."""
     matches = (
         scan(docs, templates)
-        .groupBy("doc_id")
+        .groupBy("row_key")
         .agg(F.array_sort(F.collect_set("template")).alias("names"))
     )
-    joined = docs.select("doc_id").join(matches, "doc_id", "left")
+    joined = docs.select("doc_id", row_key().alias("row_key")).join(matches, "row_key", "left")
     names = F.coalesce("names", F.array().cast("array<string>"))
     return joined.select(
         "doc_id",

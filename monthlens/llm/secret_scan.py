@@ -20,7 +20,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from monthlens.llm.shared import stored, text_or_empty, total
+from monthlens.llm.shared import row_key, stored, text_or_empty, total
 
 # Fixed patterns of the base rules. "{24,}" and "{16,}" find what "+" and a later test of the
 # length find, as runs are taken whole.
@@ -208,21 +208,23 @@ def rejection_bins(tokens: DataFrame, fdr: float) -> DataFrame:
 
 
 def scan(docs: DataFrame, least: int = 20, fdr: float = 0.05) -> DataFrame:
-    """Spans of every document: ``doc_id``, ``base`` and ``added``, arrays of (start, kind, end).
+    """Spans of every document: ``doc_id``, ``base`` and ``added``, arrays of (start, kind, end),
+    and ``row_key``, which stands for the id, or for the text of rows without id.
 
     ``kind`` counts along ``KINDS``. ``least``: characters of a token that is tested. Added spans
     that touch a base span are left out, as the base span says it already. Rows of one ``doc_id``
-    share their added spans, so they should hold one text; rows without id get base spans only.
+    share their added spans, so they should hold one text; rows without id share those of their text.
     """
-    text = docs.select("doc_id", text_or_empty().alias("text"))
+    text = docs.select("doc_id", row_key().alias("row_key"), text_or_empty().alias("text"))
     found = text.select(
         "doc_id",
+        "row_key",
         base_spans(F.col("text")).alias("base"),
         _spans(F.col("text"), token_pattern(least), 3).alias("spans"),
         F.regexp_extract_all("text", F.lit(token_pattern(least)), F.lit(0)).alias("tokens"),
     )
     found = stored(
-        found.select("doc_id", "base", F.arrays_zip("spans", "tokens").alias("candidates"))
+        found.select("doc_id", "row_key", "base", F.arrays_zip("spans", "tokens").alias("candidates"))
     )
     exploded = found.select(F.explode("candidates").alias("c")).select(
         F.col("c.tokens").alias("token")
@@ -246,20 +248,21 @@ def _with_added(found: DataFrame, tested: DataFrame, fdr: float) -> DataFrame:
     # a frequent token is one row here; adaptive execution splits its occurrences
     spans = (
         found.where(F.size("candidates") > 0)
-        .select("doc_id", "base", F.explode("candidates").alias("c"))
+        .select("row_key", "base", F.explode("candidates").alias("c"))
         .where(
             ~F.exists(
                 "base",
                 lambda b: (b["start"] < F.col("c.spans.end")) & (F.col("c.spans.start") < b["end"]),
             )
         )
-        .select("doc_id", F.col("c.spans").alias("span"), F.col("c.tokens").alias("token"))
+        .select("row_key", F.col("c.spans").alias("span"), F.col("c.tokens").alias("token"))
         .join(random_tokens, "token", "left_semi")
-        .groupBy("doc_id")
+        .groupBy("row_key")
         .agg(F.sort_array(F.collect_set("span")).alias("added"))
     )
-    return found.join(spans, "doc_id", "left").select(
+    return found.join(spans, "row_key", "left").select(
         "doc_id",
+        "row_key",
         "base",
         F.coalesce("added", F.array().cast(SPAN)).alias("added"),
     )
@@ -295,9 +298,11 @@ def redact(docs: DataFrame, scanned: DataFrame, mark: str = "[secret]") -> DataF
     Overlapping spans are replaced together.
     """
     spans = scanned.select(
-        "doc_id", F.sort_array(F.concat("base", "added")).alias("_spans")
+        F.col("row_key").alias("_row_key"),
+        F.sort_array(F.concat("base", "added")).alias("_spans"),
     ).where(F.size("_spans") > 0)
-    joined = docs.join(spans.dropDuplicates(["doc_id"]), "doc_id", "left")
+    keyed = docs.withColumn("_row_key", row_key())
+    joined = keyed.join(spans.dropDuplicates(["_row_key"]), "_row_key", "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:

@@ -49,6 +49,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def row_key() -> Column:
+    """A key that is never null: the id of a row of documents, or its text where it has no id."""
+    text = F.sha2(text_or_empty().cast("binary"), 256)
+    return F.coalesce(
+        F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.concat(F.lit("t"), text)
+    )
+
+
 def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 

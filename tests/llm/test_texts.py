@@ -318,6 +318,22 @@ def test_secrets(documents):
     assert secret_scan.digests(secret_scan.scan(documents([]))).count() == 0
 
 
+def test_rows_without_id(documents):
+    rnd = random.Random(15)
+    mixed = ["".join(rnd.choice(secret_scan.ALPHABETS["alphanumeric"]) for _ in range(40)) for _ in range(20)]
+    texts = [(None, f"see {m} there") for m in mixed]
+    texts += [(None, "token = abcdef12 é"), (None, "no secret"), (None, None), (1, "token = abcdef12")]
+    docs = documents(texts)
+    got = Counter(r["text"] for r in secret_scan.redact(docs, secret_scan.scan(docs)).collect())
+    assert got["see [secret] there"] >= 18
+    assert sum(got.values()) == len(texts)
+    for text in ("[secret] é", "no secret", None, "[secret]"):
+        assert got[text] == 1
+    docs = documents([(None, "Released under the MIT License."), (None, "plain words of a text"), (1, "")])
+    told = sorted((r["n_licenses"], r["licenses"]) for r in licenses.report(docs).collect())
+    assert told == [(0, ""), (0, ""), (1, "mit")]
+
+
 # --- toxicity
 
 
