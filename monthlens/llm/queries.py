@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from monthlens.llm import (
+    audit,
     chat,
     fingerprints,
     jaccard,
     licenses,
+    manifest,
+    merges,
     packing,
     pieces,
     quality,
     repeats,
     secret_scan,
+    statements,
     toxicity,
 )
 from monthlens.llm.shared import ship_package, table
@@ -23,8 +27,9 @@ from monthlens.llm.shared import ship_package, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-#: A public vocabulary file; a parameter of the operator.
+#: Public vocabulary files; parameters of the operators.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_MODEL = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +78,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verification(manifest.manifest(table(spark, sf_dir, "documents")))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merges.digests(table(spark, sf_dir, "documents"), pieces.read_model(WORD_MODEL))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -96,6 +113,9 @@ _QUERIES: dict[str, Query] = {
     "op8_packing": _op8,
     "op9_fingerprints": _op9,
     "op10_secret_scan": _op10,
+    "op11_merkle_manifest": _op11,
+    "op12_bpe": _op12,
+    "op13_filter_audit": _op13,
 }
 
 
@@ -161,4 +181,9 @@ group by sets.doc_id, shingles
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard_join": _JACCARD_SQL, "op6_chat_format": _CHAT_SQL}
+    return {
+        "op3_jaccard_join": _JACCARD_SQL,
+        "op6_chat_format": _CHAT_SQL,
+        "op11_merkle_manifest": statements.MANIFEST,
+        "op13_filter_audit": statements.AUDIT,
+    }

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 
 def test_all_are_registered():
     names = [name.split("_")[0] for name in queries.queries()]
-    assert names == [f"op{n}" for n in range(1, 11)]
+    assert names == [f"op{n}" for n in range(1, 14)]
     assert {*queries.queries(), "pipeline"} <= set(entry.queries())
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
@@ -29,7 +29,7 @@ def test_matches_duckdb(spark, name):
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op5_license_scan", "op6_chat_format", "op10_secret_scan"])
+@pytest.mark.parametrize("name", ["op5_license_scan", "op6_chat_format", "op10_secret_scan", "op11_merkle_manifest"])
 def test_native_plans_run_no_python(spark, name):
     plan = queries.queries()[name](spark, str(DATA))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "MapInArrow", "CartesianProduct"))
