@@ -218,7 +218,41 @@ def _scalar(parts, **figures: str) -> str:
     return _sql(parts, f"\nselect '1996-03' as month_time,\n       {columns}")
 
 
+_NESTED = """
+nested as (
+    select cc, lo, hi from blocks
+    union all select 'WORLD', 0, 4294967295
+    union all
+    select n_name || ' 2', greatest((n_nationkey + 7) % 25 * 171798692::bigint - 1000000, 0),
+           (n_nationkey + 7) % 25 * 171798692::bigint - 1000000 + 9000000
+    from nation
+    union all
+    select n_name || ' 3', greatest((n_nationkey + 7) % 25 * 171798692::bigint - 999223, 0),
+           (n_nationkey + 7) % 25 * 171798692::bigint - 999223 + 5000
+    from nation
+)"""
+
+
 def statements() -> dict[str, str]:
+    known = _statements()
+    # other ways to the same results: from stored sets, merged states, written tables, ranges
+    same = {
+        "register_number_stored": "register_number",
+        "mau_stored": "mau",
+        "mau_exclude_register_stored": "mau_exclude_register",
+        "keep_ratio_stored": "keep_ratio",
+        "new_user_keep_ratio_stored": "new_user_keep_ratio",
+        "month_user_stat_stored": "month_user_stat",
+        "active_user_stat_rescan": "active_user_stat",
+        "client_ranks_by_range": "client_ranks",
+        "client_version_merged": "client_version",
+        "sink_idempotent": "client_version",
+        "month_client_version_rescan": "month_client_version",
+    }
+    return known | {name: known[other] for name, other in same.items()}
+
+
+def _statements() -> dict[str, str]:
     calendar = (_LOGINS, _DAYS, _REST)
     return {
         "login_etl": _sql(
@@ -237,6 +271,16 @@ def statements() -> dict[str, str]:
                   from orders)
             left join blocks on ip_num between lo and hi""",
         ),
+        "ip_country_nested": _sql(
+            (_BLOCKS, _NESTED),
+            """
+            select any_value(o_custkey) as userid, any_value(ip_num) as ip_num,
+                   arg_min(cc, (hi - lo, -lo, cc)) as cc
+            from (select *, ((o_orderkey % 2147483648) * 2654435761) % 4294967296 as ip_num
+                  from orders)
+            left join nested on ip_num between lo and hi
+            group by o_orderkey""",
+        ),
         "user_snapshot_month": _sql(
             (_SIGNUPS,), "\nselect id, created_at from signups where month = date '1996-03-01'"
         ),

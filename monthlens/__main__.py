@@ -17,13 +17,24 @@ from monthlens import jobs
 from monthlens.params import MonthParams
 
 JOBS = {
-    "load-users": jobs.load_users,
-    "load-logins": jobs.load_logins,
-    "user-stat": jobs.user_stat,
-    "user-report": jobs.user_report,
-    "client-version": jobs.client_version,
-    "client-share": jobs.client_share,
-    "client-report": jobs.client_report,
+    job.__name__.replace("_", "-"): job
+    for job in (
+        jobs.load_users,
+        jobs.load_users_bucketed,
+        jobs.load_logins,
+        jobs.load_logins_bucketed,
+        jobs.user_sets,
+        jobs.user_stat,
+        jobs.user_stat_bucketed,
+        jobs.user_stat_stored,
+        jobs.user_report,
+        jobs.client_version,
+        jobs.client_publish,
+        jobs.client_merge,
+        jobs.client_share,
+        jobs.client_share_published,
+        jobs.client_report,
+    )
 }
 _DEFAULTS = MonthParams.for_month("2000-01")
 

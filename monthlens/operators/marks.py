@@ -54,14 +54,17 @@ def created_in(params: MonthParams, start, end) -> str:
     return f"(created_at >= {first} and created_at < {last})"
 
 
-def signup_marks(signups: DataFrame, params: MonthParams) -> list[DataFrame]:
+def signup_marks(
+    signups: DataFrame, params: MonthParams, one_read: bool = False
+) -> list[DataFrame]:
     """Marks of all registrations up to the end of the reported month.
 
     A snapshot with partitions is read twice, as each read is pruned by its own column: the
-    partitions up to the month, ids only, and the row groups of the two recent months.
+    partitions up to the month, ids only, and the row groups of the two recent months. With
+    ``one_read`` it is one frame.
     """
-    recent = recent_signup_marks(signups, params)
-    if "ds" in signups.columns:
+    if "ds" in signups.columns and not one_read:
+        recent = recent_signup_marks(signups, params)
         known = signups.where(registered_by_month_end(signups, params))
         return [known.selectExpr("id as uid", f"{REGISTERED}L as mark"), recent]
     tests = {
@@ -132,6 +135,20 @@ def merge_marks(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return merged.selectExpr(*keys, "marks", "if(uid is not null, marks, 0L) as known")
 
 
+def merge_marks_in_place(visits: DataFrame, signups: DataFrame) -> DataFrame:
+    """``merge_marks`` by user, for marks from two tables that are stored by user.
+
+    Each side is or-ed on its own and the results, one row per user, are joined. With equal
+    buckets neither step has a shuffle, which a union would need.
+    """
+    came = visits.groupBy("uid").agg(F.expr("bit_or(mark) as came"))
+    joined = signups.groupBy("uid").agg(F.expr("bit_or(mark) as joined"))
+    merged = came.join(joined, "uid", "full").selectExpr(
+        "uid", "coalesce(came, 0L) | coalesce(joined, 0L) as marks"
+    )
+    return merged.selectExpr("uid", "marks", "if(uid is not null, marks, 0L) as known")
+
+
 def mark_month_before(users: DataFrame) -> DataFrame:
     """Marks per month and user, with what the user did in the month before added.
 

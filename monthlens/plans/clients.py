@@ -53,21 +53,19 @@ def client_by_source(installs: DataFrame, params: MonthParams) -> DataFrame:
     return latest.select("source", "uid", *columns)
 
 
-def client_version(installs: DataFrame, params: MonthParams) -> DataFrame:
-    """One row per user over both sources; the client table wins.
-
-    A user who is in the client table takes everything from there, so a platform known to
-    the device table alone is not shown. A user known to the device table alone keeps the
-    versions but has no time and no channel.
-    """
-    is_source = {name: F.col("source") == name for name in (CLIENT, DEVICE)}
-    latest = usable_installs(installs, params).groupBy("uid").agg(
+def newest_by_source(usable: DataFrame) -> DataFrame:
+    """Per user the newest install of each source and platform, as structs."""
+    return usable.groupBy("uid").agg(
         *(
-            newest(test & (F.col("type") == code)).alias(f"{source}_{name}")
-            for source, test in is_source.items()
+            newest((F.col("source") == source) & (F.col("type") == code)).alias(f"{source}_{name}")
+            for source in (CLIENT, DEVICE)
             for name, code in _PLATFORMS.items()
         )
     )
+
+
+def from_newest(latest: DataFrame, params: MonthParams) -> DataFrame:
+    """The client table from the newest installs per user."""
     in_client = F.coalesce(*(F.col(f"{CLIENT}_{name}.version") for name in _PLATFORMS)).isNotNull()
     columns = []
     for name in _PLATFORMS:
@@ -78,6 +76,16 @@ def client_version(installs: DataFrame, params: MonthParams) -> DataFrame:
     return latest.select("uid", *columns)
 
 
+def client_version(installs: DataFrame, params: MonthParams) -> DataFrame:
+    """One row per user over both sources; the client table wins.
+
+    A user who is in the client table takes everything from there, so a platform known to
+    the device table alone is not shown. A user known to the device table alone keeps the
+    versions but has no time and no channel.
+    """
+    return from_newest(newest_by_source(usable_installs(installs, params)), params)
+
+
 def month_client_version(clients: DataFrame) -> DataFrame:
     """Users with an iOS client, an Android client and both, against all rows.
 

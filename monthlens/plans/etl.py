@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from monthlens.functions.dates import in_days, in_zone, is_text
 from monthlens.functions.ip import with_ip_number
 from monthlens.operators.iplookup import with_country
 from monthlens.params import MonthParams
-from monthlens.sources.tables import valid_ids
+from monthlens.sources.tables import malformed_count, valid_ids
 
 
 def user_snapshot_month(users: DataFrame, params: MonthParams) -> DataFrame:
@@ -22,7 +22,7 @@ def user_snapshot_month(users: DataFrame, params: MonthParams) -> DataFrame:
 def ip_country(records: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every raw login with its address as a number and the country that holds it."""
     numbered = with_ip_number(records.select("userid", "loginip"), "loginip", "ip_num")
-    return with_country(numbered, blocks)
+    return with_country(numbered, blocks, nested=True)
 
 
 def in_month(records: DataFrame, params: MonthParams) -> DataFrame:
@@ -34,15 +34,26 @@ def in_month(records: DataFrame, params: MonthParams) -> DataFrame:
     return valid_ids(records, "userid", params).where(inside)
 
 
-def login_etl(records: DataFrame, blocks: DataFrame, params: MonthParams) -> DataFrame:
+def login_etl(
+    records: DataFrame,
+    blocks: DataFrame,
+    params: MonthParams,
+    observation: Observation | None = None,
+) -> DataFrame:
     """Distinct user, day and country of the month's raw logins.
 
-    ``month_time`` and ``day_time`` are the first 7 and 10 characters of the login time.
+    ``month_time`` and ``day_time`` are the first 7 and 10 characters of the login time. An
+    ``observation`` receives ``malformed`` when the result is written: the raw logins whose day is
+    no date. They are counted in the same pass.
     """
     month = in_month(records, params)
-    day = "substring(recordtime, 1, 10)" if is_text(records, "recordtime") else "date(recordtime)"
+    text = is_text(records, "recordtime")
+    day = "substring(recordtime, 1, 10)" if text else "date(recordtime)"
     daily = month.selectExpr("userid as uid", f"{day} as day", "loginip")
-    located = with_country(with_ip_number(daily, "loginip", "ip_num"), blocks)
+    located = with_country(with_ip_number(daily, "loginip", "ip_num"), blocks, nested=True)
+    if observation is not None:
+        # every login is one row here still
+        located = located.observe(observation, malformed_count(located, "day"))
     # The texts are made after the shuffle, which then carries only what tells rows apart.
     return located.select("uid", "day", "cc").distinct().selectExpr(
         "uid",

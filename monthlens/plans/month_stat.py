@@ -43,7 +43,7 @@ def _counts(registered: int) -> list[Column]:
     ]
 
 
-def _days(counted: DataFrame) -> DataFrame:
+def days_of(counted: DataFrame) -> DataFrame:
     """31 rows per month, one for each possible day; ``dau`` is NULL where nobody came."""
     rows = counted.selectExpr("month", *_TOTALS, "posexplode(dau) as (offset, users)")
     return rows.selectExpr(
@@ -51,7 +51,7 @@ def _days(counted: DataFrame) -> DataFrame:
     )
 
 
-def _means() -> list[Column]:
+def means() -> list[Column]:
     """The day means over days that had a visit, and the totals carried through."""
     trades = is_weekday(F.col("day")) & F.col("rest_date").isNull()
     return [F.expr(f"max({name}) as {name}") for name in _TOTALS] + [
@@ -60,7 +60,7 @@ def _means() -> list[Column]:
     ]
 
 
-def _figures(df: DataFrame, month_time: str) -> DataFrame:
+def figures(df: DataFrame, month_time: str) -> DataFrame:
     return df.selectExpr(
         f"{month_time} as month_time",
         *FIGURES[1:-2],
@@ -70,20 +70,24 @@ def _figures(df: DataFrame, month_time: str) -> DataFrame:
 
 
 def month_user_stat(
-    visits: DataFrame, signups: DataFrame, rest_days: DataFrame, params: MonthParams
+    visits: DataFrame,
+    signups: DataFrame,
+    rest_days: DataFrame,
+    params: MonthParams,
+    stored_by_user: bool = False,
 ) -> DataFrame:
     """The statistic of one month, always one row.
 
-    ``visits`` must cover the reported month and the one before it.
+    ``visits`` must cover the reported month and the one before it. Inputs that are bucketed by
+    user, in equal numbers, are brought together ``stored_by_user``, without a shuffle.
     """
-    users = m.merge_marks(
-        [m.visit_marks(visits, params), *m.signup_marks(signups, params)], ["uid"]
-    )
+    marks = [m.visit_marks(visits, params), *m.signup_marks(signups, params, stored_by_user)]
+    users = m.merge_marks_in_place(*marks) if stored_by_user else m.merge_marks(marks, ["uid"])
     month = F.expr(f"date'{params.start}' as month")
     counted = users.agg(*_counts(m.REGISTERED), month)
     rest = rest_dates(rest_days, params, params.start, params.following)
-    days = with_rest_date(_days(counted), rest)
-    return _figures(days.agg(*_means()), f"'{params.label}'")
+    days = with_rest_date(days_of(counted), rest)
+    return figures(days.agg(*means()), f"'{params.label}'")
 
 
 def month_user_stat_all(
@@ -98,12 +102,12 @@ def month_user_stat_all(
         ["month", "uid"],
     )
     counted = m.mark_month_before(users).groupBy("month").agg(*_counts(m.FIRST_SIGN_UP))
-    days = with_rest_date(_days(counted), rest_dates(rest_days, params))
-    by_month = days.groupBy("month").agg(*_means())
+    days = with_rest_date(days_of(counted), rest_dates(rest_days, params))
+    by_month = days.groupBy("month").agg(*means())
     # One row per calendar month is left here, so one task can add them up.
     so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = by_month.withColumn("register_number", F.sum("register_number").over(so_far))
-    return _figures(summed.where(F.col("mau") > 0), "date_format(month, 'yyyy-MM')")
+    return figures(summed.where(F.col("mau") > 0), "date_format(month, 'yyyy-MM')")
 
 
 def active_user_stat(stat: DataFrame) -> DataFrame:

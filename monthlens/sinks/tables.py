@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from monthlens.sources.tables import read_table
 
-_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType()}
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "binary": T.BinaryType(),
+}
 
 
 def _columns(text: str) -> T.StructType:
@@ -27,6 +34,10 @@ MONTH_CLIENT_VERSION = _columns(
     "mobile_type string, number bigint, total bigint, ratio double"
 )
 LOGIN_ETL = _columns("uid bigint, month_time string, day_time string, city string")
+USER_SETS = _columns("kind string, label string, bucket bigint, bits binary, lost bigint")
+INSTALLS = _columns(
+    "source string, user_id bigint, type int, version string, created_at string, channel string"
+)
 
 
 def by_month(schema: T.StructType) -> T.StructType:
@@ -44,6 +55,15 @@ def create_if_missing(
     writer.parquet(path)
 
 
+def has_entries(spark: SparkSession, path: str, besides: str) -> bool:
+    """Whether a folder holds anything but the entry of that name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    return any(status.getPath().getName() != besides for status in files.listStatus(folder))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The table's columns in order; a missing column or another type is an error."""
     for field in schema:
@@ -73,12 +93,30 @@ def overwrite_month(
         .partitionBy(partition)
         .parquet(path)
     )
-    written = counted.get["rows"]
+    written = observed(counted, "rows")
     if not written:
-        raise ValueError(f"nothing to write for {ds}")
+        raise nothing_written(ds)
     return written
 
 
+def observed(observation: Observation, name: str) -> int:
+    """What was counted during a write that has ended.
+
+    Where Spark finds out on the way that there are no rows, it leaves the counting step out and
+    the observation has no values.
+    """
+    try:
+        return observation.get[name]
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return 0
+
+
+def nothing_written(ds: str) -> ValueError:
+    return ValueError(f"nothing to write for {ds}")
+
+
 def overwrite_as_of(df: DataFrame, path: str, schema: T.StructType, ds: str) -> int:
     """Replace the whole table as of a month; returns the rows written.
 

@@ -72,3 +72,22 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_nationkey * 171798692L as lo",
         "n_nationkey * 171798692L + 171798691L as hi",
     )
+
+
+def nested_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nations' blocks inside one of all addresses, each around two of other nations.
+
+    The inner ones are a block of some /16 networks across two nations' border and, inside that,
+    one of 5,000 addresses.
+    """
+    nations = blocks(spark, sf_dir)
+    keyed = read_table(spark, f"{sf_dir}/nation.parquet", NATION)
+    inner = keyed.selectExpr(
+        "inline(array("
+        "struct(concat(n_name, ' 2') as cc, (n_nationkey + 7) % 25 * 171798692L as at, 9000000L as n),"
+        "struct(concat(n_name, ' 3') as cc, (n_nationkey + 7) % 25 * 171798692L + 777 as at, 5000L as n)))"
+    ).selectExpr(
+        "cc", "greatest(at - 1000000L, 0L) as lo", "at - 1000000L + n as hi"
+    )
+    world = nations.selectExpr("'WORLD' as cc", "0L as lo", "4294967295L as hi").limit(1)
+    return world.unionByName(nations).unionByName(inner)

@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from monthlens.functions.dates import day_of, in_days, in_zone, month_of
+from monthlens.functions.dates import day_of, in_days, in_zone, month_of, up_to_month
 from monthlens.params import MonthParams, month_start
 
 DEVICE = "device"
@@ -80,11 +80,14 @@ def visits_from_logins(
     )
 
 
-def malformed_days(df: DataFrame, name: str) -> DataFrame:
+def malformed_count(df: DataFrame, name: str) -> Column:
     """How many rows hold a day text that is no date; such rows count in no daily figure."""
-    return df.agg(
-        F.count_if(F.col(name).isNotNull() & day_of(df, name).isNull()).alias("malformed")
-    )
+    lost = F.col(name).isNotNull() & day_of(df, name).isNull()
+    return F.count_if(lost).alias("malformed")
+
+
+def malformed_days(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(malformed_count(df, name))
 
 
 def rest_dates(
@@ -109,3 +112,10 @@ def installs(device: DataFrame, client: DataFrame) -> DataFrame:
     return device.select(
         F.lit(DEVICE).alias("source"), *columns, F.lit(None).cast("string").alias("channel")
     ).unionByName(client.select(F.lit(CLIENT).alias("source"), *columns, "channel"))
+
+
+def due_later(installs: DataFrame, params: MonthParams) -> DataFrame:
+    """Installs of months after the reported one, as they are."""
+    times = in_zone(installs.withColumn("_at", F.col("created_at")), "_at", params.time_zone)
+    later = F.col("_at").isNotNull() & ~up_to_month(times, "_at", params.start)
+    return times.where(later).drop("_at")

@@ -121,3 +121,43 @@ def test_login_etl_keeps_one_row_per_user_day_and_country(spark):
     rows = {tuple(r) for r in etl.login_etl(records, blocks, fx.MARCH).collect()}
     day = (fx.BASE + 1, "2024-03", "2024-03-01")
     assert rows == {(*day, "aa"), (*day, "bb"), (*day, None)}
+
+
+def _overlapping_blocks(seed):
+    """Nested, crossing, equal and reversed ranges of all sizes."""
+    rnd = random.Random(seed)
+    blocks = [("world", 0, 2**32 - 1), ("lost", 9, 3)]
+    for n in range(250):
+        size = 2 ** rnd.choice((0, 1, 4, 8, 9, 12, 16, 20, 24, 26, 30)) + rnd.randrange(2)
+        lo = rnd.randrange(2**32 - size)
+        blocks.append((rnd.choice(("x", "y", f"c{n}")), lo, lo + size - 1))
+        if rnd.random() < 0.5:  # one inside, perhaps of the same range or beginning
+            inner = max(size // rnd.choice((1, 2, 256)), 1)
+            at = lo + rnd.choice((0, size - inner))
+            blocks.append((rnd.choice((f"i{n}", None)), at, at + inner - 1))
+    return blocks
+
+
+@pytest.mark.parametrize("broadcast_bytes", [iplookup.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_smallest_block_counts(spark, seed, broadcast_bytes):
+    blocks = _overlapping_blocks(seed)
+    addresses = _addresses([b for b in blocks if b[1] <= b[2]], seed)
+    frame = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "n int, ip_num bigint")
+    got = iplookup.with_country(
+        frame, fx.blocks(spark, blocks), broadcast_bytes=broadcast_bytes, nested=True
+    )
+    found = {r.n: r.cc for r in got.collect()}
+    assert len(found) == len(addresses)
+    for n, address in enumerate(addresses):
+        around = [b for b in blocks if address is not None and b[1] <= address <= b[2]]
+        around.sort(key=lambda b: (b[2] - b[1], -b[1], b[0] is None, b[0] or ""))
+        assert found[n] == (around[0][0] if around else None), address
+
+
+def test_flattened_blocks_do_not_overlap(spark):
+    blocks = fx.blocks(spark, _overlapping_blocks(3))
+    flat = sorted(tuple(r) for r in iplookup.most_specific(blocks).select("lo", "hi", "cc").collect())
+    assert flat[0][0] == 0 and flat[-1][1] == 2**32 - 1
+    assert all(a[1] + 1 == b[0] for a, b in zip(flat, flat[1:]))
+    assert iplookup.most_specific(fx.blocks(spark, [])).count() == 0

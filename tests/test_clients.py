@@ -4,6 +4,8 @@ import random
 from collections import defaultdict
 from itertools import product
 
+import pytest
+
 import fixtures as fx
 from monthlens.operators import ranks
 from monthlens.plans import clients
@@ -147,8 +149,9 @@ def test_latest_by_window_and_by_aggregate_agree_with_brute_force(spark):
     assert sides == want
 
 
-def test_ranks_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "_CHUNK", 3)  # many copies span several chunks
+@pytest.mark.parametrize("small_bytes", [0, 1 << 30])
+def test_ranks_against_brute_force(spark, monkeypatch, small_bytes):
+    monkeypatch.setattr(ranks, "SMALL_BYTES", small_bytes)
     rows = _random_installs(4)
     times = defaultdict(list)
     for key, record in _usable(rows):

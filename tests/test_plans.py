@@ -7,7 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 import fixtures as fx
-from monthlens.plans import activity, clients, month_stat
+from monthlens import jobs
+from monthlens.operators import usersets
+from monthlens.plans import activity, clients, month_stat, stored_stat
 from monthlens.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -67,13 +69,41 @@ def test_latest_client_drops_rows_before_the_shuffle(spark):
     assert _count(plan, "WindowGroupLimit") == 2
 
 
-def test_ranks_shuffle_counted_times_once(spark):
-    df = entry.queries()["client_ranks"](spark, SF)
-    df.collect()
-    executed = _plan(df).split("== Initial Plan ==")[0]
-    # counts per time, those by day (used twice), totals by user, and back by day
-    assert _count(executed, "Exchange") == 4
-    assert _count(executed, "ReusedExchange") == 1
+def test_ranks_of_a_small_table_are_one_shuffle(spark):
+    plan = _query(spark, "client_ranks")
+    assert _count(plan, "Exchange") == 1
+    assert "Join" not in plan
+
+
+def test_ranks_by_range_join_a_short_list_only(spark):
+    plan = _query(spark, "client_ranks_by_range")
+    assert _count(plan, "BroadcastHashJoin") == 1
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_logins_are_read_once_while_they_are_written(spark, tmp_path, monkeypatch):
+    """The malformed days are counted in the pass that writes the month."""
+    paths = {name: str(tmp_path / name) for name in ("records", "blocks", "logins")}
+    fx.records(spark).write.parquet(paths["records"])
+    fx.blocks(spark, [("aa", 0, 2**32 - 1)]).write.parquet(paths["blocks"])
+    written = []
+    overwrite = jobs.out.overwrite_month
+    monkeypatch.setattr(
+        jobs.out, "overwrite_month", lambda df, *a, **k: written.append(df) or overwrite(df, *a, **k)
+    )
+    assert jobs.load_logins(spark, fx.MARCH, *paths.values()) == 0
+    plan = _plan(written[0])
+    assert plan.count(paths["records"]) == 1
+    assert _count(plan, "CollectMetrics") == 1
+
+
+def test_stored_sets_are_read_pruned(spark, tmp_path):
+    path = str(tmp_path / "sets")
+    sets = usersets.signup_sets(fx.users(spark), "UTC")
+    sets.write.parquet(path)
+    plan = _plan(stored_stat.mau(spark.read.parquet(path), fx.MARCH))
+    assert _count(plan, "FileScan") == 1
+    assert "ReadSchema: struct<kind:string,label:string,bucket:bigint,bits:binary" in plan
 
 
 def test_snapshot_is_pruned_by_partition_and_by_time(spark, tmp_path):

@@ -194,4 +194,4 @@ def test_command_line(spark, tmp_path):
     )
     rows = out.read_as_of(spark, table, out.CLIENT_VERSION, "2024-03").collect()
     assert sorted(map(tuple, rows), key=repr) == sorted(fx.CLIENTS, key=repr)
-    assert len(JOBS) == 7
+    assert len(JOBS) == 15

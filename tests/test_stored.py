@@ -1,0 +1,307 @@
+"""Figures from stored sets, states and published tables against those from all rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import fixtures as fx
+from monthlens import MonthParams, jobs
+from monthlens.operators import usersets as u
+from monthlens.operators.latest import usable_installs
+from monthlens.operators.ranks import client_ranks
+from monthlens.plans import activity, client_state, clients, month_stat, stored_stat
+from monthlens.sinks import bucketed, published, tables as out
+from monthlens.sources import tables as src
+
+MONTHS = [MonthParams.for_month(f"2024-{n:02d}") for n in range(1, 13)]
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _drawn(spark, seed, lost=0):
+    """Logins and registrations of a few users with ids far apart, over four months."""
+    rnd = random.Random(seed)
+    ids = [fx.BASE + rnd.choice((1, 32768, 10**6)) * rnd.randrange(60) for _ in range(80)]
+    day = lambda: f"2024-{rnd.randrange(1, 5):02d}-{rnd.randrange(1, 33):02d}"
+    logins = [(rnd.choice(ids), f"{day()} 08:00:00", "1.1.1.1") for _ in range(600)]
+    logins += [(None, "2024-03-02 08:00:00", "1.1.1.1")]
+    users = [
+        (i, fx.millis(f"2024-{rnd.randrange(1, 5):02d}-10") if rnd.random() < 0.9 else 9999999999999)
+        for i in ids
+    ]
+    users += [(None, fx.millis("2024-03-10"))] * lost
+    return fx.records(spark, logins), fx.users(spark, users)
+
+
+# --- sets of users
+
+
+@pytest.mark.parametrize(("seed", "lost"), [(1, 0), (2, 0), (3, 1)])
+def test_figures_from_sets_equal_those_from_rows(spark, tmp_path, seed, lost):
+    records, users = _drawn(spark, seed, lost)
+    visits = src.visits_from_records(records, fx.MARCH)
+    two_months = src.visits_from_records(records, fx.MARCH, fx.MARCH.previous, fx.MARCH.following)
+    path = str(tmp_path / "sets")
+    u.visit_sets(visits).unionByName(u.signup_sets(users, "UTC")).write.parquet(path)
+    sets = spark.read.parquet(path)
+    p = fx.MARCH
+    for got, want in (
+        (stored_stat.register_number(sets, p), activity.register_number(users, p)),
+        (stored_stat.mau(sets, p), activity.mau(two_months, p)),
+        (stored_stat.keep_ratio(sets, p), activity.keep_ratio(two_months, p)),
+        (
+            stored_stat.new_user_keep_ratio(sets, p),
+            activity.new_user_keep_ratio(two_months, users, p),
+        ),
+        (
+            stored_stat.mau_exclude_register(sets, p),
+            activity.mau_exclude_register(two_months, users, p),
+        ),
+        (
+            stored_stat.month_user_stat(sets, fx.rest_days(spark), p),
+            month_stat.month_user_stat(two_months, users, fx.rest_days(spark), p),
+        ),
+    ):
+        assert got.columns == want.columns
+        assert _rows(got) == _rows(want)
+        assert str(tmp_path / "sets") in _plan(got)
+        assert "o_orderkey" not in _plan(got) and "LocalTableScan [userid" not in _plan(got)
+
+
+def test_sets_of_nothing(spark):
+    nobody = fx.records(spark, [])
+    sets = u.visit_sets(src.visits_from_records(nobody, fx.MARCH)).unionByName(
+        u.signup_sets(fx.users(spark, []), "UTC")
+    )
+    assert sets.count() == 0
+    row = stored_stat.month_user_stat(sets, fx.rest_days(spark), fx.MARCH).first()
+    assert (row.register_number, row.mau, row.keep_ratio, row.exchange_dau) == (0, 0, None, None)
+
+
+def test_sets_unite_and_intersect_exactly(spark):
+    rnd = random.Random(5)
+    sides = {n: {rnd.randrange(200_000) for _ in range(n)} for n in (3000, 5000)}
+    rows = [("k", str(n), i) for n, ids in sides.items() for i in ids for _ in range(2)]
+    sets = u.sets_of(spark.createDataFrame(rows, "kind string, label string, uid bigint"))
+    named = u.named_sets(
+        sets, {"a": F.col("label") == "3000", "b": F.col("label") == "5000", "any": F.lit(True)}
+    )
+    both = u.with_intersections(named, {"both": ("a", "b")})
+    got = both.agg(*(u.users_in(name) for name in ("a", "b", "any", "both"))).first()
+    a, b = sides.values()
+    assert tuple(got) == (len(a), len(b), len(a | b), len(a & b))
+
+
+def test_monthly_jobs_from_sets(spark, tmp_path):
+    """The chain of jobs gives the statistic of the rows, reading one month of them at a time."""
+    at = {name: str(tmp_path / name) for name in "users records rest blocks".split()}
+    fx.users(spark).write.parquet(at["users"])
+    fx.records(spark).write.parquet(at["records"])
+    fx.rest_days(spark).write.parquet(at["rest"])
+    fx.blocks(spark, [("aa", 10 << 24, (11 << 24) - 1)]).write.parquet(at["blocks"])
+    snapshot, logins, sets, stat = (str(tmp_path / n) for n in ("snap", "logins", "sets", "stat"))
+    jobs.load_users(spark, MONTHS[0], at["users"], snapshot)
+    for p in MONTHS[1:3]:
+        jobs.load_users(spark, p, at["users"], snapshot)
+        jobs.load_logins(spark, p, at["records"], at["blocks"], logins)
+    with pytest.raises(Exception, match="month_time=2024-01|PATH_NOT_FOUND|nothing to write"):
+        jobs.user_sets(spark, MONTHS[4], logins, snapshot, sets)
+    first = src.read_partitioned(spark, snapshot, "ds").where("ds = '2024-01'")
+    out.overwrite_month(u.signup_sets(first, "UTC"), sets, out.USER_SETS, "2024-01")
+    for p in (*MONTHS[1:3], MONTHS[2]):
+        jobs.user_sets(spark, p, logins, snapshot, sets)
+    jobs.user_stat_stored(spark, fx.MARCH, sets, at["rest"], stat)
+    got = out.read_month(spark, stat, out.MONTH_USER_STAT, "2024-03").drop("ds").first()
+    assert got.asDict() == fx.STAT
+
+
+# --- clients brought forward
+
+
+def _batches(seed):
+    """Per month what arrives in it: some installs late by months, some dated ahead, some twice."""
+    rnd = random.Random(seed)
+    batches = {p.label: [] for p in MONTHS}
+    for _ in range(900):
+        due = rnd.randrange(12)
+        arrives = min(max(due + rnd.choice((0, 0, 0, 0, 1, 3, 7, -1, -2)), 0), 11)
+        row = (
+            rnd.choice(("device", "client")),
+            rnd.choice((1, 2, 3, 4, 5, 6, 0, None)) if rnd.random() < 0.3 else rnd.randrange(7, 60),
+            rnd.choice((1, 2, 3)),
+            rnd.choice(("1.0", "1.1", "2.0", "", None)),
+            f"2024-{due + 1:02d}-{rnd.randrange(1, 29):02d} 0{rnd.randrange(3)}:00:00",
+            rnd.choice(("a", "b", None)),
+        )
+        batches[MONTHS[arrives].label] += [row] * rnd.choice((1, 1, 2))
+    return batches
+
+
+def test_twelve_months_brought_forward_equal_a_rebuild(spark, tmp_path):
+    batches = _batches(11)
+    state, table = str(tmp_path / "state"), str(tmp_path / "table")
+    arrived = []
+    for p in MONTHS:
+        rows = batches[p.label]
+        arrived += rows
+        device, client = (str(tmp_path / f"{kind}-{p.label}") for kind in ("device", "client"))
+        frame = fx.install_frame(spark, rows)
+        frame.where("source = 'device'").drop("source", "channel").write.parquet(device)
+        frame.where("source = 'client'").drop("source").write.parquet(client)
+        for _ in range(2 if p.label == "2024-05" else 1):
+            jobs.client_merge(spark, p, device, client, state, table)
+        if p.label in ("2024-01", "2024-06", "2024-12"):
+            want = clients.client_version(fx.install_frame(spark, arrived), p)
+            got = published.read_published(spark, table, out.CLIENT_VERSION)
+            assert _rows(got) == _rows(want)
+    with pytest.raises(ValueError, match="no state as of 2025-05"):
+        jobs.client_merge(
+            spark, MonthParams.for_month("2025-06"), device, client, state, table
+        )
+
+
+def test_state_of_times_that_are_no_text(spark):
+    rows = fx.install_frame(spark, [("client", 1, 1, "1", "2024-03-31 23:30:00", "c")])
+    times = rows.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    east = MonthParams.for_month("2024-03", time_zone="Asia/Shanghai")
+    kept = client_state.brought_forward(None, times, east)
+    assert client_state.newest_of(kept).count() == 0
+    following = MonthParams.for_month("2024-04", time_zone="Asia/Shanghai")
+    after = client_state.brought_forward(kept, times.limit(0), following)
+    row = client_state.client_version(after, following).first()
+    assert row.android_download_time == "2024-04-01 07:30:00"
+
+
+# --- published tables
+
+
+def test_sink_idempotent(spark, tmp_path):
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame(fx.CLIENTS, out.CLIENT_VERSION)
+    with pytest.raises(ValueError, match="nothing has been published"):
+        published.read_published(spark, path, out.CLIENT_VERSION)
+    for _ in range(4):
+        assert published.publish(good, path, out.CLIENT_VERSION) == len(fx.CLIENTS)
+        table = published.read_published(spark, path, out.CLIENT_VERSION)
+        assert _rows(table) == sorted(fx.CLIENTS, key=repr)
+        assert table.columns == out.CLIENT_VERSION.fieldNames()
+    assert len(list((tmp_path / "t" / "data").iterdir())) == published.KEEP
+    assert [n for n, _ in published.publications(spark, path)] == [3, 4]
+
+
+def test_failed_run_leaves_the_published_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame(fx.CLIENTS, out.CLIENT_VERSION)
+    published.publish(good, path, out.CLIENT_VERSION)
+    broken = good.withColumn("uid", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        published.publish(broken, path, out.CLIENT_VERSION)
+    with pytest.raises(ValueError, match="nothing to publish"):
+        published.publish(good.limit(0), path, out.CLIENT_VERSION)
+    with pytest.raises(ValueError, match="uid is missing"):
+        published.publish(good.drop("uid"), path, out.CLIENT_VERSION)
+    table = published.read_published(spark, path, out.CLIENT_VERSION)
+    assert _rows(table) == sorted(fx.CLIENTS, key=repr)
+
+
+def test_readers_keep_the_version_they_began_with(spark, tmp_path):
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame(fx.CLIENTS, out.CLIENT_VERSION)
+    published.publish(good, path, out.CLIENT_VERSION)
+    reader = published.read_published(spark, path, out.CLIENT_VERSION)
+    published.publish(good.limit(1), path, out.CLIENT_VERSION)
+    assert reader.count() == len(fx.CLIENTS)
+    assert published.read_published(spark, path, out.CLIENT_VERSION).count() == 1
+
+
+def test_share_of_the_published_table(spark, tmp_path):
+    device, client, table, share = (str(tmp_path / n) for n in ("d", "c", "t", "s"))
+    fx.device_installs(spark).write.parquet(device)
+    fx.client_installs(spark).write.parquet(client)
+    jobs.client_publish(spark, fx.MARCH, device, client, table)
+    jobs.client_share_published(spark, fx.MARCH, table, share)
+    rows = out.read_month(spark, share, out.MONTH_CLIENT_VERSION, "2024-03").drop("ds")
+    assert _rows(rows) == sorted(fx.SHARES, key=repr)
+
+
+# --- tables stored by user
+
+
+def test_statistic_of_bucketed_tables_has_no_shuffle_by_user(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bucketed, "BUCKETS", 3)
+    at = {name: str(tmp_path / name) for name in "users records rest blocks stat".split()}
+    fx.users(spark).write.parquet(at["users"])
+    fx.records(spark).write.parquet(at["records"])
+    fx.rest_days(spark).write.parquet(at["rest"])
+    fx.blocks(spark, [("aa", 10 << 24, (11 << 24) - 1)]).write.parquet(at["blocks"])
+    try:
+        for p in MONTHS[:3]:
+            jobs.load_users_bucketed(spark, p, at["users"], "snapshot_by_user")
+        for p in (*MONTHS[1:3], MONTHS[2]):
+            jobs.load_logins_bucketed(spark, p, at["records"], at["blocks"], "logins_by_user")
+        with pytest.raises(ValueError, match="nothing to write"):
+            jobs.load_logins_bucketed(
+                spark, MONTHS[8], at["records"], at["blocks"], "logins_by_user"
+            )
+        jobs.user_stat_bucketed(
+            spark, fx.MARCH, "logins_by_user", "snapshot_by_user", at["rest"], at["stat"]
+        )
+        got = out.read_month(spark, at["stat"], out.MONTH_USER_STAT, "2024-03").drop("ds")
+        assert got.first().asDict() == fx.STAT
+        visits = src.visits_from_logins(
+            spark.table("logins_by_user"), fx.MARCH.previous, fx.MARCH.following
+        )
+        signups = spark.table("snapshot_by_user")
+        rest = fx.rest_days(spark)
+        plan = _plan(month_stat.month_user_stat(visits, signups, rest, fx.MARCH, True))
+        assert "hashpartitioning(uid" not in plan and "hashpartitioning(id" not in plan
+        assert "SinglePartition" in plan and "Bucketed: true" in plan
+        by_union = _plan(month_stat.month_user_stat(visits, signups, rest, fx.MARCH))
+        assert "hashpartitioning(uid" in by_union
+    finally:
+        spark.sql("drop table if exists snapshot_by_user")
+        spark.sql("drop table if exists logins_by_user")
+
+
+def test_marks_in_place_equal_marks_by_union(spark):
+    records, users = _drawn(spark, 9, lost=2)
+    visits = src.visits_from_records(records, fx.MARCH, fx.MARCH.previous, fx.MARCH.following)
+    rest = fx.rest_days(spark)
+    for frame in (users, users.withColumn("ds", F.lit("2024-02"))):
+        ways = [month_stat.month_user_stat(visits, frame, rest, fx.MARCH, w) for w in (0, 1)]
+        assert _rows(ways[0]) == _rows(ways[1])
+
+
+# --- ranks
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_ranks_by_ranges_equal_a_window(spark, ranges):
+    rnd = random.Random(ranges)
+    rows = []
+    for _ in range(3000):
+        user = 7 if rnd.random() < 0.5 else rnd.randrange(1, 30)
+        second = rnd.choice((0, 0, rnd.randrange(50)))
+        time = f"2024-02-0{rnd.randrange(1, 3)} 00:00:{second:02d}"
+        rows.append((rnd.choice(("device", "client")), user, rnd.choice((1, 2)), "1", time, "c"))
+    usable = usable_installs(fx.install_frame(spark, rows).repartition(5), fx.MARCH)
+    known = spark.conf.get("spark.sql.shuffle.partitions")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        spark.conf.set(merging, "false")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)
+        got = _rows(client_ranks(usable, small_bytes=-1))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", known)
+        spark.conf.unset(merging)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == _rows(client_ranks(usable, small_bytes=1 << 62))
+    assert client_ranks(usable.limit(0), small_bytes=-1).count() == 0
