@@ -220,8 +220,8 @@ class Vocabulary:
         """The ids of each text. Parts are looked up for many short texts at once."""
         found = [array("I") for _ in texts]
         waiting, size = [], 0
-        for ids, text in zip(found, texts, strict=True):
-            for begin, end, special in self._stretches(text or ""):
+        for ids, text in zip(found, (text or "" for text in texts), strict=True):
+            for begin, end, special in self._stretches(text):
                 waiting.append((ids, self.words(text[begin:end]), special))
                 size += end - begin
                 if size >= STRETCH:
