@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark.sql import types as T
 
 #: Bytes of text that are worked on at a time.
 SLICE_BYTES = 1 << 20
@@ -147,6 +148,13 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(at, "text", pa.array(texts, pa.binary()))
 
 
+def packed_schema(schema: T.StructType) -> T.StructType:
+    """The schema of rows after ``pack_text``."""
+    return T.StructType(
+        [T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in schema]
+    )
+
+
 def pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The column ``text`` compressed, for a shuffle of whole rows; null stays null."""
     compressor = zstandard.ZstdCompressor(level=1)

@@ -10,9 +10,9 @@ document with a smaller id, or further left in the same one. That is a longest p
 2. Blocks whose anchor occurs once in the corpus are dropped: their windows are unique.
 3. Of blocks with equal bytes, all but the first are later copies as a whole.
 4. The first ones of anchors with several different blocks go to tasks by anchor. There the
-   suffixes are put in order by prefix doubling up to ``WINDOW`` bytes, equal ones by position.
-   A suffix whose predecessor agrees on ``WINDOW`` bytes has that one as its previous smaller
-   position in suffix order, with a common prefix of ``WINDOW``: it is a later copy.
+   suffixes are put in order by prefix doubling up to ``WINDOW`` bytes, with the bytes that
+   neighbours share. The nearest smaller positions before and after a suffix in that order are
+   where its longest previous factor begins; one of ``WINDOW`` bytes makes it a later copy.
    Anchors with more than ``CROWD`` different blocks do not meet in a task: their windows are
    grouped by hash, with partial aggregation, and all but the first are later copies.
 
@@ -34,8 +34,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from monthlens.llm.rawtext import Rolling, few_rows, flat, signed
-from monthlens.llm.shared import release_shuffles, stored
+from monthlens.llm.rawtext import (
+    PACKED,
+    Rolling,
+    few_rows,
+    flat,
+    pack,
+    pack_text,
+    packed_schema,
+    signed,
+    unpack_text,
+    unpacked,
+)
+from monthlens.llm.shared import Scratch
 
 WINDOW = 100
 GRAM = 32
@@ -121,20 +132,25 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def _packed(docs: DataFrame) -> DataFrame:
+    """Texts compressed, for a shuffle."""
+    return _texts(docs).where("doc_id is not null").mapInArrow(pack, PACKED)
+
+
+def candidates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Blocks whose anchor occurs more than once: ``gram, block, doc_id, at``."""
     anchors = _texts(docs).where("doc_id is not null and octet_length(text) >= 100")
     anchors = anchors.mapInArrow(_anchors, _ANCHOR_SCHEMA)
     repeated = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     # written, so that both sides of the join are shuffled for it and a frequent anchor is split
-    return anchors.join(stored(repeated.select("gram")), "gram", "left_semi")
+    return anchors.join(scratch.stored(repeated.select("gram")), "gram", "left_semi")
 
 
 _BYTES_SCHEMA = "gram long, doc_id long, start long, windows int, bytes binary"
 
 
 def _block_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
+    for batch in unpacked(batches):
         data, offsets = flat(batch.column("text"))
         raw = data.tobytes()
         ids = batch.column("doc_id").to_pylist()
@@ -157,10 +173,10 @@ def _dense(values: np.ndarray) -> np.ndarray:
     return np.unique(values, return_inverse=True)[1].astype(np.uint64)
 
 
-def suffix_ranks(text: np.ndarray, length: int = WINDOW) -> np.ndarray:
-    """The rank of every suffix of ``text`` by its first ``length`` bytes, by prefix doubling.
+def suffix_levels(text: np.ndarray, length: int = WINDOW) -> dict[int, np.ndarray]:
+    """By depth, the rank of every suffix of ``text`` by that many bytes, from prefix doubling.
 
-    Suffixes that agree on ``length`` bytes share a rank. Past the end counts as zero bytes.
+    Suffixes that agree on the bytes share a rank. Past the end counts as zero bytes.
     """
     n = len(text)
     padded = np.concatenate([text, np.zeros(length, np.uint8)])
@@ -168,33 +184,94 @@ def suffix_ranks(text: np.ndarray, length: int = WINDOW) -> np.ndarray:
     for i in range(8):
         rank[:n] |= padded[i : i + n].astype(np.uint64) << np.uint64(56 - 8 * i)
     rank, known = _dense(rank), 8
+    levels = {known: rank.astype(np.uint32)}
     while known < length:
         step = min(known, length - known)
         pair = rank.copy() << np.uint64(32)
         pair[:-step] |= rank[step:]
         rank, known = _dense(pair), known + step
-    return rank[:n]
+        levels[known] = rank.astype(np.uint32)
+    return levels
+
+
+def suffix_ranks(text: np.ndarray, length: int = WINDOW) -> np.ndarray:
+    """The rank of every suffix of ``text`` by its first ``length`` bytes."""
+    return suffix_levels(text, length)[length][: len(text)]
+
+
+def common_prefixes(levels: dict[int, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Bytes that each suffix shares with the one before it in ``at``; the first has none.
+
+    Counted in steps of 8 up to the depth of the levels.
+    """
+    shared = np.zeros(len(at), np.int64)
+    depth = max(levels)
+    a, b = at[:-1], at[1:]
+    whole = levels[depth][a] == levels[depth][b]
+    found = np.zeros(len(a), np.int64)
+    for step in sorted(levels, reverse=True)[1:]:
+        rank = levels[step]
+        found += step * (rank[a + found] == rank[b + found])
+    shared[1:] = np.where(whole, depth, np.minimum(found, depth - 1))
+    return shared
+
+
+def _shared_with_smaller(position: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Per entry, the least of ``shared`` back to the nearest entry before it of a smaller position.
+
+    An entry looks at the one before it. Where that is not smaller, it goes on to what that one is
+    looking at: everything between is no smaller either. So the distance doubles from round to
+    round. Where nothing is shared any more the answer is 0.
+    """
+    target = np.arange(-1, len(position) - 1)
+    least = shared.copy()
+    open_ = np.flatnonzero(least > 0)
+    while len(open_):
+        seen = target[open_]
+        further = position[seen] >= position[open_]
+        open_, seen = open_[further], seen[further]
+        reached = np.minimum(least[open_], least[seen])
+        target[open_], least[open_] = target[seen], reached
+        open_ = open_[reached > 0]
+    return least
+
+
+def longest_previous_factors(position: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """LPF in suffix order: the longest prefix of a suffix that begins at an earlier position too.
+
+    ``position`` has the positions in suffix order, ``shared`` the common prefix with the suffix
+    before. The candidates are the nearest smaller positions before and after in that order.
+    """
+    before = _shared_with_smaller(position, shared)
+    turned = np.concatenate([shared[:1] * 0, shared[:0:-1]])
+    after = _shared_with_smaller(position[::-1], turned)[::-1]
+    return np.maximum(before, after)
 
 
 def later_copies(ids: np.ndarray, starts: np.ndarray, windows: np.ndarray, blocks: list[bytes]):
-    """Per block, which of its windows are later copies: (block index, offset) of each."""
+    """Per block, which of its windows are later copies: (block index, offset) of each.
+
+    They are the suffixes whose longest previous factor has ``WINDOW`` bytes.
+    """
     text = np.frombuffer(b"".join(blocks), np.uint8)
     sizes = np.fromiter(map(len, blocks), np.int64, len(blocks))
     base = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(blocks)), windows)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    rank = suffix_ranks(text)[base[owner] + offset]
-    # suffix order, equal prefixes by position: the previous smaller position of a suffix with
-    # the same rank is its predecessor
-    order = np.lexsort((starts[owner] + offset, ids[owner], rank))
-    here, before = order[1:], order[:-1]
-    place = starts[owner] + offset
-    same = np.zeros(len(order), dtype=bool)
-    same[1:] = (rank[here] == rank[before]) & (
-        (ids[owner[here]] != ids[owner[before]]) | (place[here] != place[before])
-    )
-    later = np.zeros(len(order), dtype=bool)
-    later[order] = same
+    levels = suffix_levels(text)
+    at, place = base[owner] + offset, starts[owner] + offset
+    order = np.lexsort((place, ids[owner], levels[WINDOW][at]))
+    # corpus positions as numbers; a position that comes twice is not earlier than itself
+    by_place = np.lexsort((place, ids[owner]))
+    moved = np.ones(len(by_place), dtype=np.int64)
+    a, b = by_place[:-1], by_place[1:]
+    moved[1:] = (ids[owner[a]] != ids[owner[b]]) | (place[a] != place[b])
+    position = np.empty(len(by_place), np.int64)
+    position[by_place] = np.cumsum(moved)
+    factors = np.empty(len(order), np.int64)
+    shared = common_prefixes(levels, at[order])
+    factors[order] = longest_previous_factors(position[order], shared)
+    later = factors >= WINDOW
     return owner[later], offset[later]
 
 
@@ -261,15 +338,15 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Byte ranges that are later copies: ``doc_id, begin, end``; they may overlap."""
-    found = stored(candidates(docs))
-    release_shuffles(docs.sparkSession)
+    """Byte ranges that are later copies, stored: ``doc_id, begin, end``; they may overlap."""
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.stored(candidates(docs, scratch))
     classes = found.groupBy("gram", "block").agg(
         F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")
     )
-    classes = stored(classes.select("gram", "block", "first.doc_id", "first.at"))
+    classes = scratch.stored(classes.select("gram", "block", "first.doc_id", "first.at"))
     several = classes.groupBy("gram").agg(F.count("*").alias("blocks")).where("blocks > 1")
-    mixed = stored(classes.join(several, "gram").select("gram", "doc_id", "at", "blocks"))
+    mixed = scratch.stored(classes.join(several, "gram").select("gram", "doc_id", "at", "blocks"))
 
     # 3: whole blocks, all but the first of their class
     whole = (
@@ -288,8 +365,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # 4: the first blocks of anchors with several
     per_doc = mixed.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "at")).alias("blocks"))
     crowded = mixed.where(F.col("blocks") > CROWD).select("gram").distinct()
-    with_bytes = _texts(docs).join(per_doc, "doc_id").select("doc_id", "text", "blocks")
-    with_bytes = stored(with_bytes.mapInArrow(_block_bytes, _BYTES_SCHEMA))
+    with_bytes = _packed(docs).join(per_doc, "doc_id").select("doc_id", "packed", "blocks")
+    with_bytes = scratch.stored(with_bytes.mapInArrow(_block_bytes, _BYTES_SCHEMA))
     small = with_bytes.join(crowded, "gram", "left_anti")
     resolved = (
         small.repartition("gram").sortWithinPartitions("gram").mapInArrow(_resolve, _SPAN_SCHEMA)
@@ -306,7 +383,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .where("first = 0")
         .select("doc_id", F.col("start").alias("begin"), (F.col("start") + WINDOW).alias("end"))
     )
-    return whole.union(resolved).union(crowd_spans)
+    return scratch.result(whole.union(resolved).union(crowd_spans))
 
 
 def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -344,10 +421,9 @@ _RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_
 
 
 def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
+    for batch in unpacked(batches):
         rows = []
-        for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            raw = (text or "").encode()
+        for doc_id, raw, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             merged = _merged(spans)
             removed = sum(end - begin for begin, end in merged)
             digest = hashlib.sha256(_kept(raw, merged)).hexdigest()
@@ -365,17 +441,20 @@ def _spans_per_document(docs: DataFrame, name: str) -> DataFrame:
 
 def repeat_report(docs: DataFrame) -> DataFrame:
     """Per document: bytes, removed bytes and runs, and the digest of what is left."""
-    joined = _texts(docs).join(_spans_per_document(docs, "spans"), "doc_id", "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(_reported, _RESULT_SCHEMA)
+    packed = _texts(docs).mapInArrow(pack, PACKED)
+    joined = packed.join(_spans_per_document(docs, "spans"), "doc_id", "left")
+    return joined.select("doc_id", "packed", "spans").mapInArrow(_reported, _RESULT_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with later copies cut from ``text``; ranges are cut at whole characters."""
-    spans = "_repeated_spans"
     names = docs.columns
+    spans = "_repeated_spans"
+    while spans in names:
+        spans += "_"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in few_rows(batches):
+        for batch in unpack_text(batches):
             texts = []
             for text, found in zip(
                 batch.column("text").to_pylist(), batch.column(spans).to_pylist(), strict=True
@@ -387,5 +466,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(names)
 
-    joined = docs.join(_spans_per_document(docs, spans), "doc_id", "left")
+    packed = docs.mapInArrow(pack_text, packed_schema(docs.schema))
+    joined = packed.join(_spans_per_document(docs, spans), "doc_id", "left")
     return joined.select(*names, spans).mapInArrow(cut, docs.schema)

@@ -4,38 +4,53 @@ from __future__ import annotations
 
 import gc
 import tempfile
-import uuid
 import zipfile
 from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from monthlens.storage import new_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only where none is named, as in tests, a temporary folder of this machine takes its place.
-    """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="monthlens-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts its lineage for good."""
-    path = f"{shared_folder(df.sparkSession)}/monthlens-{uuid.uuid4().hex}"
+    return _written(df, new_path(df.sparkSession, "llm"))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one run that are deleted when a result made from them is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        self.paths.append(new_path(self.spark, "scratch"))
+        return _written(df, self.paths[-1])
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` stored for good; the tables it was made from go."""
+        kept = stored(df)
+        self.clear()
+        return kept
+
+    def clear(self) -> None:
+        for path in self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.paths = []
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files that no frame needs any more.
 

@@ -154,3 +154,39 @@ def test_repeated_rows_and_lost_ids(documents):
     assert rows == {(1, 0), (None, 0), (2, len(text))}
     found = {(r["doc_id"], r["component_id"]) for r in jaccard.near_components(docs).collect()}
     assert found == {(1, 1), (None, None), (2, 1)}
+
+
+def test_longest_previous_factors():
+    """Against the definition, with equal positions among the suffixes."""
+    import numpy as np
+
+    rnd = random.Random(3)
+    for alphabet, n in (("ab", 300), ("abcdefgh", 600), ("a", 150), ("ab" * 3 + "cdefghijkl", 400)):
+        raw = "".join(rnd.choice(alphabet) for _ in range(n)).encode() * 2
+        levels = repeats.suffix_levels(np.frombuffer(raw, np.uint8))
+        order = sorted(range(len(raw)), key=lambda i: (raw[i : i + repeats.WINDOW].ljust(100, b"\0"), i))
+        at = np.array(order)
+        shared = repeats.common_prefixes(levels, at)
+        position = at // 2  # two suffixes share a position
+        factors = repeats.longest_previous_factors(position, shared)
+
+        def common(i, j):
+            k = 0
+            a, b = (raw[x : x + 100].ljust(100, b"\0") for x in (i, j))
+            while k < 100 and a[k] == b[k]:
+                k += 1
+            return k if k == 100 else k // 8 * 8
+
+        for place, i in list(enumerate(order))[::7]:
+            earlier = [common(i, j) for j in range(len(raw)) if j // 2 < i // 2]
+            assert factors[place] == max(earlier, default=0)
+
+
+def test_repeats_with_clashing_columns(documents):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = documents([text, text + " end"]).selectExpr("*", "1 _repeated_spans", "2 packed", "3 spans")
+    kept = repeats.remove_repeats(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {0: text, 1: " end"}
+    want = brute.repeats({0: text, 1: text + " end"})
+    assert _repeats(docs) == want
