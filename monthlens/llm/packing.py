@@ -1,9 +1,10 @@
 """Length buckets with the least padding, and batches of a token budget inside each bucket.
 
 A batch is padded to its bucket's limit. The limits come from dynamic programming over the global
-histogram of lengths, so no other choice of that many limits pads less. Lengths up to ``FINE`` are
-bins of their own; above, a power of two is cut into ``FINE`` / 2 bins, which holds the histogram
-to some thousand rows whatever the corpus. Limits are lengths that occur, the greatest of a bin.
+histogram of lengths, every length for itself, so no other choice of that many limits pads less.
+The histogram is counted by Spark and is all that reaches the driver. It is small whatever the
+corpus: ``m`` different lengths take ``m * m / 2`` words at least, so a corpus of
+10**13 words has no more than 4.5 million of them, and real ones have some thousands.
 
 Batches hold ``budget // limit`` documents, one at least, in order of ``doc_id``.
 
@@ -20,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthlens.llm.shared import stored, text_or_empty
 
-FINE = 512
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -28,43 +28,69 @@ def n_words(column: str = "text") -> Column:
     return F.regexp_count(text_or_empty(column), F.lit(WORD))
 
 
-def _bin(length: Column) -> Column:
-    octave = F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))), F.lit(0))
-    width = F.pow(F.lit(2.0), F.greatest(octave - int(np.log2(FINE)) + 1, F.lit(0)))
-    return (F.floor(length / width) * width).cast("long")
-
-
 def best_limits(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """The limits with the least padding for ``counts`` documents of ``lengths`` (ascending).
 
-    ``best[j]`` is the least padded total of the first ``j`` bins with the limits so far; the
-    padding is that total less a constant.
+    ``best[j]`` is the least padded total of the first ``j`` lengths with the buckets so far; the
+    padding is that total less a constant. A last bucket from ``i`` on costs
+    ``best[i] + (below[j] - below[i]) * lengths[j - 1]``, which is a line in the limit for every
+    ``i``. Slopes fall and limits rise, so the lowest lines form a queue that is walked once per
+    bucket.
     """
-    m = len(lengths)
+    limits_of = lengths.tolist()
+    m = len(limits_of)
     if m == 0:
         return []
-    buckets = min(buckets, m)
-    below = np.concatenate([[0], np.cumsum(counts)]).astype(np.float64)
-    best = np.concatenate([[0.0], below[1:] * lengths])
+    below = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    best = [0] + [n * limit for n, limit in zip(below[1:], limits_of, strict=True)]
     choices = []
-    for _ in range(1, buckets):
-        new, choice = best.copy(), np.arange(m + 1)
-        for j in range(1, m + 1):
-            # the last bucket holds the bins from i on
-            totals = best[:j] + (below[j] - below[:j]) * lengths[j - 1]
-            i = int(totals.argmin())
-            new[j], choice[j] = totals[i], i
+    for _ in range(1, min(buckets, m)):
+        best, choice = _one_more_bucket(best, below, limits_of)
         choices.append(choice)
-        best = new
-    limits, j = [], m
+    found, j = [], m
     for choice in reversed(choices):
         if j == 0:
             break
-        limits.append(int(lengths[j - 1]))
-        j = int(choice[j])
+        if choice[j] < j:  # else this bucket is not needed
+            found.append(limits_of[j - 1])
+            j = choice[j]
     if j > 0:
-        limits.append(int(lengths[j - 1]))
-    return sorted(set(limits))
+        found.append(limits_of[j - 1])
+    return sorted(found)
+
+
+def _one_more_bucket(
+    best: list[int], below: list[int], limits: list[int]
+) -> tuple[list[int], list[int]]:
+    """``best`` with a bucket more, and per ``j`` where the last bucket begins; ``j`` for none."""
+    new, choice = [0], [0]
+    queue: list[int] = []  # beginnings whose lines are lowest somewhere, by falling slope
+    at = 0
+    for j, limit in enumerate(limits, 1):
+        i = j - 1
+        while len(queue) - at >= 2:
+            a, b = queue[-2], queue[-1]
+            # b is nowhere below both a and i
+            if (best[i] - best[a]) * (below[b] - below[a]) <= (best[b] - best[a]) * (below[i] - below[a]):
+                queue.pop()
+            else:
+                break
+        queue.append(i)
+        while at + 1 < len(queue):
+            a, b = queue[at], queue[at + 1]
+            if best[b] - below[b] * limit <= best[a] - below[a] * limit:
+                at += 1
+            else:
+                break
+        begin = queue[at]
+        total = best[begin] + (below[j] - below[begin]) * limit
+        if total < best[j]:
+            new.append(total)
+            choice.append(begin)
+        else:
+            new.append(best[j])
+            choice.append(j)
+    return new, choice
 
 
 def pack(docs: DataFrame, length: Column, buckets: int = 16, budget: int = 16384) -> DataFrame:
@@ -75,13 +101,13 @@ def pack(docs: DataFrame, length: Column, buckets: int = 16, budget: int = 16384
     """
     lengths = stored(docs.select("doc_id", length.cast("long").alias("n_tokens")))
     histogram = (
-        lengths.groupBy(_bin(F.col("n_tokens")).alias("bin"))
-        .agg(F.max("n_tokens").alias("longest"), F.count("*").alias("n"))
-        .orderBy("longest")
-        .collect()  # some thousand rows at most, see above
+        lengths.groupBy("n_tokens")
+        .agg(F.count("*").alias("n"))
+        .orderBy("n_tokens")
+        .collect()  # some thousand rows, see above for the bound
     )
     limits = best_limits(
-        np.array([row["longest"] for row in histogram], np.int64),
+        np.array([row["n_tokens"] for row in histogram], np.int64),
         np.array([row["n"] for row in histogram], np.int64),
         buckets,
     ) or [0]
