@@ -65,11 +65,20 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def row_key() -> Column:
-    """A key that is never null: the id of a row of documents, or its text where it has no id."""
-    text = F.sha2(text_or_empty().cast("binary"), 256)
-    return F.coalesce(
-        F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.concat(F.lit("t"), text)
+    """A key that is never null: a row's id and a hash of its text, or its text's digest without id."""
+    text = text_or_empty()
+    known = F.concat(
+        F.lit("i"), F.col("doc_id").cast("string"), F.lit(":"), F.xxhash64(text).cast("string")
     )
+    return F.coalesce(known, F.concat(F.lit("t"), F.sha2(text.cast("binary"), 256)))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with underscores behind it where a column has it already."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def total(columns: list[Column]) -> Column:

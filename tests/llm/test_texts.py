@@ -481,3 +481,117 @@ def test_stages(spark, documents, tmp_path):
     assert steps["secrets"][1003]["text"] == '[secret]"'
     assert set(steps["packing"]) == set(steps["secrets"])
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()} == set(steps["packing"])
+
+
+# --- more on packing and secrets
+
+
+def _least_padding(lengths, counts, buckets):
+    """By trying every last bucket, in whole numbers."""
+    m = len(lengths)
+    below = np.concatenate([[0], np.cumsum(counts)])
+    best = [[0] + [None] * m]
+    for _ in range(buckets):
+        row = [0]
+        for j in range(1, m + 1):
+            options = [
+                best[-1][i] + int(below[j] - below[i]) * int(lengths[j - 1])
+                for i in range(j)
+                if best[-1][i] is not None
+            ]
+            row.append(min(options + ([best[-1][j]] if best[-1][j] is not None else [])))
+        best.append(row)
+    return best[-1][m]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_limits_of_long_documents_are_the_best(seed):
+    rnd = np.random.default_rng(seed)
+    lengths = np.unique(np.concatenate([rnd.integers(1, 600, 60), rnd.integers(500, 60_000, 90)]))
+    counts = rnd.integers(1, 1000 if seed % 2 else 3, len(lengths))
+    for buckets in (1, 2, 5, 16, len(lengths), len(lengths) + 3):
+        limits = packing.best_limits(lengths, counts, buckets)
+        assert len(limits) <= buckets and limits[-1] == lengths[-1]
+        padded = sum(int(n) * limits[np.searchsorted(limits, x)] for x, n in zip(lengths, counts, strict=True))
+        assert padded == _least_padding(lengths, counts, min(buckets, len(lengths)))
+
+
+def test_buckets_of_a_table_are_the_best(documents):
+    rnd = random.Random(8)
+    sizes = [rnd.choice((rnd.randrange(60), rnd.randrange(500, 3000))) for _ in range(300)] + [0, 7, 7]
+    rows = packing.pack(documents(["w " * n for n in sizes] + [None]), packing.n_words(), buckets=5).collect()
+    lengths, counts = np.unique([*sizes, 0], return_counts=True)
+    assert sum(r["bucket_limit"] for r in rows) == _least_padding(lengths, counts, 5)
+    assert all(r["n_tokens"] <= r["bucket_limit"] for r in rows)
+
+
+def _identifiers(n, seed=3):
+    """Names as programs have them, of words that the scan does not know."""
+    rnd = random.Random(seed)
+    syllables = "ka re mi to sun der vel lin gar por est an io bra chi dol mer sta qui fen".split()
+    word = lambda: "".join(rnd.choice(syllables) for _ in range(rnd.randint(2, 4)))
+    names = set()
+    while len(names) < n:
+        words = [rnd.choice((w, w.capitalize())) for w in (word() for _ in range(rnd.randint(2, 6)))]
+        name = rnd.choice("_-/").join(words) + rnd.choice(("", f"_{rnd.randrange(100)}"))
+        if len(name) >= 20:
+            names.add(name)
+    return sorted(names)
+
+
+def _random_tokens(n, sizes, seed=4):
+    rnd = random.Random(seed)
+    letters = secret_scan.ALPHABETS["base64"]
+    return ["".join(rnd.choice(letters) for _ in range(rnd.choice(sizes))) for _ in range(n)]
+
+
+def _found(docs):
+    """(doc_id, start, end) of the added spans."""
+    rows = secret_scan.scan(docs).collect()
+    return {(r["doc_id"], s["start"], s["end"]) for r in rows for s in r["added"]}
+
+
+def test_identifiers_are_no_secrets(documents):
+    names = _identifiers(3000)
+    secrets = _random_tokens(400, (24, 28, 32, 40, 64))
+    docs = documents([f"call {token} here" for token in names + secrets])
+    found = {i for i, _, _ in _found(docs)}
+    right = sum(i >= len(names) for i in found)
+    assert right >= 0.9 * len(secrets)
+    assert len(found) - right <= 0.05 * len(found)
+
+
+def test_identifiers_alone_are_not_reported(documents):
+    docs = documents([" ".join(_identifiers(600, seed=i)) for i in range(4)])
+    assert len(_found(docs)) <= 5
+
+
+def test_what_a_base_span_leaves_of_a_token_is_judged(documents):
+    token = _random_tokens(1, (48,))[0].replace("+", "x").replace("/", "y")
+    hexes = "0123456789abcdef0123456789abcdef"
+    texts = [f"a {hexes}-{token} b", f"ab_token={token}", f"see {'Z' * 5}{hexes} there"]
+    texts += [f"plain {t} text" for t in _random_tokens(30, (48,), seed=7)]
+    found = _found(documents(texts))
+    assert (0, 2 + len(hexes), 2 + len(hexes) + 1 + 48) in found
+    assert not any(i in (1, 2) for i, _, _ in found)
+
+
+def test_letters_or_digits_alone_reach_the_battery(spark):
+    rnd = random.Random(6)
+    tokens = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60))]
+    tokens += ["".join(rnd.choice("0123456789") for _ in range(60)), "a" * 60, "0123456789" * 6]
+    rows = secret_scan.battery(spark.createDataFrame([(t,) for t in tokens], "token string"))
+    p = {r["token"]: r["p"] for r in rows.collect()}
+    assert p[tokens[1]] > 0.01 and p[tokens[2]] < 1e-6 and p[tokens[3]] < 1e-3
+
+
+def test_rows_of_one_id_are_told_apart(documents):
+    tokens = _random_tokens(20, (40,), seed=9)
+    docs = documents([(1, f"see {tokens[0]}"), (1, "plain words of a text"), (1, f"see {tokens[0]}")])
+    docs = docs.unionByName(documents([(i + 2, f"x {t}") for i, t in enumerate(tokens[1:])]))
+    docs = docs.selectExpr("*", "1 _row_key", "2 _spans", "3 base", "4 row_key")
+    clean = secret_scan.redact(docs, secret_scan.scan(docs))
+    assert clean.columns == docs.columns
+    texts = Counter(r["text"] for r in clean.where("doc_id = 1").collect())
+    assert texts == {"see [secret]": 2, "plain words of a text": 1}
+    assert clean.count() == docs.count()
