@@ -5,9 +5,12 @@ documents link at a distance of ``1 - SIMILARITY`` or less. Documents of unrelat
 lie at distance one from each other, where distances to pivots tell nothing, so the pivots of a
 document are taken from the documents that it can reach at all:
 
-1. Equal sets are one class. Classes that cannot link are put aside: each class lists the
-   shingles with the least hashes, a fifth of its set and some more, and of two linking classes
-   these lists share a known number. Lists with fewer shared shingles are out.
+1. Equal sets are one class. Documents that cannot link to another are put aside: each lists the
+   shingles with the least hashes, a fifth of its set and some more, and of two linking sets
+   these lists share a known number. Lists with fewer shared shingles are out. The lists are
+   shuffled once; a shingle that many lists of a batch hold goes as a single row, so a very
+   common one fills no task. The first documents of the classes that are left are then sifted
+   again among themselves, which leaves out sets that only had copies.
 2. Of the classes that are left, shingles are ordered by rarity over whole sets. A class with
    fewer shared shingles than any link needs is out; the others list their rarest shingles.
    Linking classes share one of them.
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from monthlens.llm.rawtext import (
     PACKED,
@@ -49,13 +52,14 @@ from monthlens.llm.rawtext import (
     mix,
     pack,
     pack_text,
+    packed_schema,
     signed,
     slices,
     unpack_text,
     unpacked,
     words,
 )
-from monthlens.llm.shared import release_shuffles, stored
+from monthlens.llm.shared import Scratch, stored
 
 SHINGLE = 5
 CROWD = 600
@@ -109,42 +113,124 @@ def shingle_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         done += part.num_rows
 
 
-def _class(shingles: np.ndarray) -> int:
-    total = np.array([mix(shingles ^ _STEP).sum(dtype=np.uint64) + np.uint64(len(shingles))])
-    return int(signed(mix(total))[0])
+def _class(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell a set from any other."""
+    keys = (mix(shingles ^ _STEP), mix(shingles + _STEP))
+    total = np.array([k.sum(dtype=np.uint64) + np.uint64(len(shingles)) for k in keys])
+    one, two = signed(mix(total)).tolist()
+    return one, two
+
+
+_CLASS = ["class", "class2"]
+_SETS = "doc_id long, n_shingles long, class long, class2 long"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = np.zeros(batch.num_rows, np.int64)
-        classes: list[int | None] = [None] * batch.num_rows
+        classes: list[tuple] = [(None, None)] * batch.num_rows
         for i, shingles in shingle_sets(batch):
             sizes[i], classes[i] = len(shingles), _class(shingles)
+        halves = (pa.array([c[h] for c in classes], pa.int64()) for h in (0, 1))
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(sizes), pa.array(classes, pa.int64())],
-            names=["doc_id", "n_shingles", "class"],
+            [batch.column("doc_id"), pa.array(sizes), *halves],
+            names=["doc_id", "n_shingles", *_CLASS],
         )
 
 
+#: ``token`` of 48 bits and the document that lists it; no document if several lists of a batch do.
+#: Rows with ``hits`` are no tokens: so many of the document's shingles are known to be shared.
+_LISTED = "token long, doc_id long, hits int"
+_TOKEN_SHIFT = np.uint64(16)
+
+
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
+    for batch in batches:
         ids = batch.column("doc_id").to_numpy()
-        tokens, rows, classes, lengths = [], [], [], []
+        tokens, rows = [], []
         for i, shingles in shingle_sets(batch):
             n = len(shingles)
-            taken = shingles[: n - least_shared(n) + _spare(n)]
+            # shingles that are equal after the cut count as shared, which loses nothing
+            taken = shingles[: n - least_shared(n) + _spare(n)] >> _TOKEN_SHIFT
             tokens.append(taken)
-            rows.append(i)
-            classes.append(_class(shingles))
-            lengths.append(len(taken))
-        if tokens:
-            yield pa.record_batch(
-                {
-                    "token": signed(np.concatenate(tokens)),
-                    "class": np.repeat(np.array(classes, np.int64), lengths),
-                    "doc_id": np.repeat(ids[rows], lengths),
-                }
-            )
+            rows.append(np.full(len(taken), i))
+        if not tokens:
+            continue
+        token, row = np.concatenate(tokens), np.concatenate(rows)
+        unique, place, counts = np.unique(token, return_inverse=True, return_counts=True)
+        here = counts[place] > 2
+        shared, hits = np.unique(row[here], return_counts=True)
+        known = unique[counts > 2]
+        yield pa.record_batch(
+            {
+                "token": signed(np.concatenate([token[~here], known, mix(ids[shared].view(np.uint64))])),
+                "doc_id": pa.array(
+                    np.concatenate([ids[row[~here]], np.zeros(len(known), np.int64), ids[shared]]),
+                    mask=np.repeat([False, True, False], [(~here).sum(), len(known), len(shared)]),
+                ),
+                "hits": np.concatenate([np.zeros((~here).sum() + len(known)), hits]).astype(np.int32),
+            }
+        )
+
+
+def _listed_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _listed(unpacked(batches))
+
+
+_HITS = "doc_id long, hits int"
+
+
+def _shared_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by token: per document, how many of its tokens another row has as well.
+
+    The rows of the last token wait for the next batch, as it may go on there. They are few: a
+    batch of documents gives two rows for a token at most.
+    """
+    token, doc, none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def counted(token: np.ndarray, doc: np.ndarray, none: np.ndarray) -> np.ndarray:
+        """The documents of shared tokens, once per token."""
+        _, place, rows = np.unique(token, return_inverse=True, return_counts=True)
+        shared = (rows > 1) | (np.bincount(place, none, len(rows)) > 0)
+        return doc[shared[place] & ~none]
+
+    for batch in batches:
+        hits = batch.column("hits").to_numpy()
+        lost = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+        ids = batch.column("doc_id").fill_null(0).to_numpy()
+        plain = hits == 0
+        token = np.concatenate([token, batch.column("token").to_numpy()[plain]])
+        doc = np.concatenate([doc, ids[plain]])
+        none = np.concatenate([none, lost[plain]])
+        ready = int(np.searchsorted(token, token[-1])) if len(token) else 0
+        found = counted(token[:ready], doc[:ready], none[:ready])
+        token, doc, none = token[ready:], doc[ready:], none[ready:]
+        yield _hits_batch(
+            np.concatenate([found, ids[~plain]]),
+            np.concatenate([np.ones(len(found), np.int64), hits[~plain]]),
+        )
+    found = counted(token, doc, none)
+    yield _hits_batch(found, np.ones(len(found), np.int64))
+
+
+def _hits_batch(ids: np.ndarray, hits: np.ndarray) -> pa.RecordBatch:
+    unique, place = np.unique(ids, return_inverse=True)
+    total = np.bincount(place, hits, len(unique)).astype(np.int32)
+    return pa.record_batch({"doc_id": unique.astype(np.int64), "hits": total})
+
+
+def able_to_link(listed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents whose lists share as much as any link needs.
+
+    ``listed`` has the rows of ``_listed``, ``sizes`` the set size ``n`` by ``doc_id``.
+    """
+    placed = listed.repartition("token").sortWithinPartitions("token")
+    hits = placed.mapInArrow(_shared_hits, _HITS).groupBy("doc_id").agg(F.sum("hits").alias("hits"))
+    return (
+        sizes.join(hits, "doc_id")
+        .where(F.col("hits") >= _spare_column(_least_column("n")))
+        .select("doc_id")
+    )
 
 
 def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,33 +256,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
 
 
-def near_classes(docs: DataFrame, sets: DataFrame) -> DataFrame:
+def near_classes(docs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """Step 1: ``doc_id`` and packed text of the first document of each class that may link."""
-    listed = _texts(docs).mapInArrow(_listed, "token long, class long, doc_id long")
-    shared = (
-        listed.groupBy("token")
-        .agg(F.min("class").alias("least"), F.max("class").alias("most"))
-        .where("least < most")
-        .select("token")
-    )
-    hits = (
-        listed.select("token", "doc_id")
-        .join(shared, "token", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("hits"))
-    )
-    classes = (
+    sizes = (
         sets.where("class is not null and doc_id is not null")
-        .groupBy("class")
+        .groupBy(*_CLASS)
         .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+        .select("doc_id", "n")
     )
-    able = (
-        classes.join(hits, "doc_id")
-        .where(F.col("hits") >= _spare_column(_least_column("n")))
-        .select("doc_id")
-    )
+    able = able_to_link(_texts(docs).mapInArrow(_listed, _LISTED), sizes)
     packed = _texts(docs).mapInArrow(pack, PACKED)
-    return stored(packed.join(able, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    near = scratch.stored(packed.join(able, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    again = able_to_link(near.mapInArrow(_listed_packed, _LISTED), sizes)
+    return scratch.stored(near.join(again, "doc_id", "left_semi"))
 
 
 def _least_column(name: str):
@@ -207,7 +279,7 @@ def _spare_column(size):
     return 1 + F.floor(size / 16)
 
 
-def cells(near: DataFrame) -> DataFrame:
+def cells(near: DataFrame, scratch: Scratch) -> DataFrame:
     """Steps 2 and 3: ``cell, doc_id``; a cell is named by its pivot."""
     tokens = near.mapInArrow(_all_tokens, "token long, doc_id long, n int")
     rarity = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -217,7 +289,7 @@ def cells(near: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
         .where(F.size("shared") >= _least_column("n"))
     )
-    rarest = stored(
+    rarest = scratch.stored(
         lists.select(
             "doc_id",
             F.explode(
@@ -434,9 +506,9 @@ def _rings(crowded: DataFrame, near: DataFrame, sizes: DataFrame) -> DataFrame:
 ROUNDS = 3
 
 
-def connecting_links(near: DataFrame) -> DataFrame:
+def connecting_links(near: DataFrame, scratch: Scratch) -> DataFrame:
     """Steps 3 to 5: links ``a < b`` that connect all classes that links connect."""
-    members = stored(cells(near).withColumn("settled", F.lit(False)))
+    members = scratch.stored(cells(near, scratch).withColumn("settled", F.lit(False)))
     edges: DataFrame | None = None
     ready: list[DataFrame] = []
     for depth in range(ROUNDS):
@@ -446,7 +518,7 @@ def connecting_links(near: DataFrame) -> DataFrame:
                 "doc_id"
             ].alias("pivot"),
         )
-        crowds = stored(sizes.where((F.col("members") > CROWD) & F.col("pivot").isNotNull()))
+        crowds = scratch.stored(sizes.where((F.col("members") > CROWD) & F.col("pivot").isNotNull()))
         ready.append(
             members.join(crowds, "cell", "left_anti").select(
                 "cell", F.lit(0).alias("part"), "doc_id", "settled"
@@ -456,7 +528,7 @@ def connecting_links(near: DataFrame) -> DataFrame:
         if crowds.isEmpty():
             members = None
             break
-        rings = stored(_rings(crowded, near, crowds))
+        rings = scratch.stored(_rings(crowded, near, crowds))
         linked = rings.where("ring = 0 and pivot != doc_id").select(
             F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
         )
@@ -480,7 +552,7 @@ def connecting_links(near: DataFrame) -> DataFrame:
             F.when(F.col("k") == 0, F.col("ring") == 0).otherwise(F.col("settled")).alias("settled"),
         )
         loose = members.where("not settled").select("cell").distinct()
-        members = stored(members.join(loose, "cell", "left_semi"))
+        members = scratch.stored(members.join(loose, "cell", "left_semi"))
     if members is not None:
         ready.append(_chunk_pairs(members))
     placed = ready[0]
@@ -488,7 +560,7 @@ def connecting_links(near: DataFrame) -> DataFrame:
         placed = placed.union(more)
     placed = placed.join(near, "doc_id").repartition("cell", "part")
     found = placed.sortWithinPartitions("cell", "part").mapInArrow(_join_cells, _CELL_SCHEMA)
-    return stored(found if edges is None else found.union(edges))
+    return scratch.stored(found if edges is None else found.union(edges))
 
 
 def _chunk_pairs(members: DataFrame) -> DataFrame:
@@ -512,7 +584,7 @@ def _chunk_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, component``: the least node of each connected component, by star contraction."""
     while True:
         # large star: greater neighbours go to the least neighbour
@@ -533,7 +605,7 @@ def components(edges: DataFrame) -> DataFrame:
             .where("a != b")
             .distinct()
         )
-        new = stored(small)
+        new = scratch.stored(small)
         again = new.join(edges, ["a", "b"], "left_anti").isEmpty()
         if again and new.count() == edges.distinct().count():
             return new.select(F.col("b").alias("node"), F.col("a").alias("component"))
@@ -542,20 +614,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_components(docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles`` and ``component_id``."""
+    scratch = Scratch(docs.sparkSession)
     ids = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = stored(ids.mapInArrow(_sets, "doc_id long, n_shingles long, class long"))
-    near = near_classes(docs, sets)
-    release_shuffles(docs.sparkSession)
-    edges = connecting_links(near)
-    release_shuffles(docs.sparkSession)
-    labels = components(edges)
+    sets = stored(ids.mapInArrow(_sets, _SETS))
+    near = near_classes(docs, sets, scratch)
+    edges = connecting_links(near, scratch)
+    labels = scratch.result(components(edges, scratch))
     classes = (
-        sets.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("node"))
+        sets.where("class is not null").groupBy(*_CLASS).agg(F.min("doc_id").alias("node"))
     )
     classes = classes.join(labels, "node", "left").select(
-        "class", F.coalesce("component", "node").alias("component")
+        *_CLASS, F.coalesce("component", "node").alias("component")
     )
-    return sets.join(classes, "class", "left").select(
+    return sets.join(classes, _CLASS, "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNull(), None)
@@ -568,9 +639,6 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document, the one with the smallest id, of each component."""
     kept = near_components(docs).where("doc_id = component_id")
     kept = kept.select("doc_id").where("doc_id is not null").distinct()
-    packed = T.StructType(
-        [T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema]
-    )
-    with_id = docs.where("doc_id is not null").mapInArrow(pack_text, packed)
+    with_id = docs.where("doc_id is not null").mapInArrow(pack_text, packed_schema(docs.schema))
     with_id = with_id.join(kept, "doc_id", "left_semi").select(*docs.columns)
     return with_id.mapInArrow(unpack_text, docs.schema).unionByName(docs.where("doc_id is null"))
