@@ -98,15 +98,21 @@ def samples(texts: list[str]) -> np.ndarray:
     return out
 
 
+def kept_bits(sample: np.ndarray) -> np.ndarray:
+    """What a fingerprint holds of each sample."""
+    return (sample >> np.uint64(48)).astype(">u2")
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    return float(np.mean(a == b))
+    """The share of equal samples, as the written fingerprints show them."""
+    if a.any() != b.any():
+        return 0.0
+    return float(np.mean(kept_bits(a) == kept_bits(b)))
 
 
 def written(sample: np.ndarray) -> str:
     """Four hexadecimal digits a sample; empty for a text without words."""
-    if not sample.any():
-        return ""
-    return (sample >> np.uint64(48)).astype(">u2").tobytes().hex()
+    return kept_bits(sample).tobytes().hex() if sample.any() else ""
 
 
 def edited(text: str, following: str) -> str:

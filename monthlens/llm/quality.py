@@ -2,10 +2,12 @@ r"""Quality rules: fixed bounds, then robust multivariate outliers per language
 
 Each text gives counts (words, their characters, symbols, repeated lines, words in repeated
 windows). Texts within the fixed bounds become vectors of transformed ratios, and per language and
-source the minimum-covariance-determinant estimate of their centre and covariance is found by
-concentration steps from a deterministic start (medians and median deviations): take the
-``COVERAGE`` of rows nearest to the centre, estimate again from those, repeat. A row is rejected
-if its squared Mahalanobis distance is beyond ``CUTOFF``.
+source the minimum-covariance-determinant estimate of their centre and covariance is looked for by
+concentration steps: take the ``COVERAGE`` of rows nearest to the centre, estimate again from those,
+repeat. Three deterministic starts come from the medians and median deviations: a diagonal, the
+covariance of the rows' directions, and that of their squashed values. After two steps each group
+goes on from the start with the least determinant, until no determinant falls any more. A row is
+rejected if its squared Mahalanobis distance is beyond ``CUTOFF``.
 
 Quantiles come from histograms with bins of fixed width, so each step is one aggregation with
 partial sums per group, whatever the size of a group. Groups with fewer than ``LEAST_ROWS`` rows
@@ -30,8 +32,13 @@ from monthlens.llm.rawtext import Rolling, flat, mix, slices, words
 from monthlens.llm.shared import stored, total
 
 COVERAGE = 0.75
-STEPS = 6
+#: steps of every start, and of the best one at most; a fall of the log-determinant that counts
+FIRST_STEPS = 2
+STEPS = 14
+FALL = 1e-3
 LEAST_ROWS = 200
+#: tables with a row per group are broadcast up to this many rows, and joined by shuffle beyond
+BROADCAST_GROUPS = 50_000
 #: the 0.999 quantile of chi-squared with five degrees of freedom, and its median
 CUTOFF = 20.515
 CHI_MEDIAN = 4.3515
@@ -182,88 +189,163 @@ def _distance(centre: str, inverse: str) -> Column:
     return total([off[i] * off[j] * F.col(inverse)[i * p + j] for i in range(p) for j in range(p)])
 
 
+def _per_group(df: DataFrame) -> DataFrame:
+    """A table with a row per group: stored, and broadcast while it is counted small."""
+    kept = stored(df)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_GROUPS else kept
+
+
+_P = len(NAMES)
+_PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
+
+
+def _square(row: dict, prefix: str) -> np.ndarray:
+    out = np.zeros((_P, _P))
+    for i, j in _PAIRS:
+        out[i, j] = out[j, i] = row[f"{prefix}{i}_{j}"] / row["n"]
+    return out
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    """(cell, start, centre, covariance) as a batch with the inverse and the log-determinant."""
+    floors = np.diag(FLOORS**2)
+    kind = pa.list_(pa.float64())
+    inverses = [np.linalg.inv(covariance + floors).ravel().tolist() for *_, covariance in rows]
+    dets = [float(np.linalg.slogdet(covariance + floors)[1]) for *_, covariance in rows]
+    return pa.record_batch(
+        {
+            "cell": pa.array([row[0] for row in rows], pa.string()),
+            "start": pa.array([row[1] for row in rows], pa.int32()),
+            "centre": pa.array([list(row[2]) for row in rows], kind),
+            "inverse": pa.array(inverses, kind),
+            "log_det": pa.array(dets, pa.float64()),
+        }
+    )
+
+
+_FOUND = "cell string, start int, centre array<double>, inverse array<double>, log_det double"
+
+
 def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Centre and inverse covariance from sums."""
-    p = len(NAMES)
+    """Centre and covariance from sums."""
     for batch in batches:
-        centres, inverses = [], []
+        found = []
         for row in batch.to_pylist():
-            n = row["n"]
-            centre = np.array([row[f"s{i}"] for i in range(p)]) / n
-            square = np.zeros((p, p))
-            for i in range(p):
-                for j in range(i, p):
-                    square[i, j] = square[j, i] = row[f"s{i}_{j}"] / n
-            covariance = square - np.outer(centre, centre) + np.diag(FLOORS**2)
-            centres.append(centre.tolist())
-            inverses.append(np.linalg.inv(covariance).ravel().tolist())
-        kind = pa.list_(pa.float64())
-        yield pa.record_batch(
-            [batch.column("cell"), pa.array(centres, kind), pa.array(inverses, kind)],
-            names=["cell", "centre", "inverse"],
-        )
+            centre = np.array([row[f"s{i}"] for i in range(_P)]) / row["n"]
+            found.append((row["cell"], row["start"], centre, _square(row, "s") - np.outer(centre, centre)))
+        yield _found(found)
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians, and the inverse of a diagonal of median deviations."""
-    long = rows.select(
-        "cell",
-        F.posexplode(F.array(*NAMES)).alias("feature", "x"),
-    )
-    keyed = long.select(F.struct("cell", "feature").alias("cell"), "x")
-    medians = _quantile(keyed, F.col("x"), 0.5, 0.01).withColumnRenamed("edge", "median")
-    off = keyed.join(medians, "cell").select(
-        "cell", F.abs(F.col("x") - F.col("median")).alias("x")
-    )
-    spread = _quantile(off, F.col("x"), 0.5, 0.01)
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The three starts of each group from sums over its scaled rows."""
+    for batch in batches:
+        found = []
+        for row in batch.to_pylist():
+            deviation = np.sqrt(row["variance"])
+            scale = np.outer(deviation, deviation)
+            directions = _square(row, "z")
+            directions *= _P / max(np.trace(directions), 1e-12)
+            mean = np.array([row[f"t{i}"] for i in range(_P)]) / row["n"]
+            squashed = _square(row, "t") - np.outer(mean, mean)
+            spread = np.sqrt(np.maximum(np.diag(squashed), 1e-12))
+            squashed /= np.outer(spread, spread)
+            for start, shape in enumerate((np.eye(_P), directions, squashed)):
+                found.append((row["cell"], start, row["centre"], shape * scale))
+        yield _found(found)
+
+
+def _medians(rows: DataFrame) -> DataFrame:
+    """``cell, centre, variance``: medians, and squared median deviations with their floors."""
+
+    def halves(values: list[Column]) -> DataFrame:
+        long = source.select("cell", F.posexplode(F.array(*values)).alias("feature", "x"))
+        keyed = long.select(F.struct("cell", "feature").alias("cell"), "x")
+        edges = _quantile(keyed, F.col("x"), 0.5, 0.01)
+        per_cell = edges.groupBy("cell.cell").agg(
+            F.sort_array(F.collect_list(F.struct("cell.feature", "edge"))).alias("f")
+        )
+        return per_cell.select("cell", F.col("f")["edge"].alias("half"))
+
+    source = rows
+    centre = _per_group(halves([F.col(name) for name in NAMES]).withColumnRenamed("half", "centre"))
+    source = rows.join(centre, "cell")
+    off = [F.abs(F.col(name) - F.col("centre")[i]) for i, name in enumerate(NAMES)]
+    spread = halves(off).join(centre, "cell")
     floors = F.array(*[F.lit(float(f)) for f in FLOORS])
-    least = F.pow(F.get(floors, F.col("cell.feature")), F.lit(2.0))
-    variance = F.pow(1.4826 * F.col("edge"), F.lit(2.0)) + least
-    both = medians.join(spread, "cell").select(
-        F.col("cell.cell").alias("cell"),
-        F.struct(
-            F.col("cell.feature").alias("i"),
-            F.col("median"),
-            (1 / variance).alias("v"),
-        ).alias("f"),
+    variance = F.zip_with(
+        "half", floors, lambda x, floor: F.pow(1.4826 * x, F.lit(2.0)) + F.pow(floor, F.lit(2.0))
     )
-    p = len(NAMES)
-    sides = both.groupBy("cell").agg(F.sort_array(F.collect_list("f")).alias("f"))
-    diagonal = [
-        F.col("f")[i]["v"] if i == j else F.lit(0.0) for i in range(p) for j in range(p)
+    return spread.select("cell", "centre", variance.alias("variance"))
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Three estimates per group, from one pass over its rows scaled by the medians."""
+    medians = _per_group(_medians(rows))
+    scaled = rows.join(medians, "cell")
+    z = [
+        ((F.col(name) - F.col("centre")[i]) / F.sqrt(F.col("variance")[i])).alias(f"z{i}")
+        for i, name in enumerate(NAMES)
     ]
-    return sides.select(
-        "cell", F.col("f")["median"].alias("centre"), F.array(*diagonal).alias("inverse")
+    scaled = scaled.select("cell", *z)
+    norm = F.greatest(total([F.col(f"z{i}") * F.col(f"z{i}") for i in range(_P)]), F.lit(1e-6))
+    t = [F.tanh(f"z{i}") for i in range(_P)]
+    sums = [F.sum(F.col(f"z{i}") * F.col(f"z{j}") / norm).alias(f"z{i}_{j}") for i, j in _PAIRS]
+    sums += [F.sum(t[i]).alias(f"t{i}") for i in range(_P)]
+    sums += [F.sum(t[i] * t[j]).alias(f"t{i}_{j}") for i, j in _PAIRS]
+    per_cell = scaled.groupBy("cell").agg(F.count("*").alias("n"), *sums).join(medians, "cell")
+    return stored(per_cell.mapInArrow(_starts, _FOUND))
+
+
+def concentrated(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """One step: the estimates from the rows that are nearest under ``estimate``."""
+    log_width = 1 / 32
+    near = rows.join(_per_group(estimate.drop("log_det")), "cell").select(
+        F.struct("cell", "start").alias("cell"), *NAMES, _distance("centre", "inverse").alias("d")
     )
+    log_d = F.log2(F.col("d") + 1e-9)
+    cut = _per_group(_quantile(near, log_d, COVERAGE, log_width))
+    core = near.join(cut, "cell").where(log_d < F.col("edge"))
+    sums = [F.sum(NAMES[i]).alias(f"s{i}") for i in range(_P)]
+    sums += [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}_{j}") for i, j in _PAIRS]
+    per_cell = core.groupBy("cell.cell", "cell.start").agg(F.count("*").alias("n"), *sums)
+    return per_cell.mapInArrow(_estimates, _FOUND)
+
+
+def _least(estimates: DataFrame, *keys: str) -> DataFrame:
+    """Per key the estimate with the least determinant."""
+    others = [name for name in ("start", "centre", "inverse") if name not in keys]
+    best = estimates.groupBy(*keys).agg(F.min(F.struct("log_det", *others)).alias("best"))
+    return best.select(*keys, "best.*").select("cell", "start", "centre", "inverse", "log_det")
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
-    """``cell, centre, inverse`` by concentration steps; one small row per group."""
-    p = len(NAMES)
+    """``cell, centre, inverse, scale``; one small row per group.
+
+    The determinant of a start says nothing, so the first step's is the first that counts. The rows
+    within a distance are told by bins, so their number is not quite the same from step to step:
+    the least determinant of all steps is kept.
+    """
     log_width = 1 / 32
-    estimate = stored(_start(rows))
-    for _ in range(STEPS):
-        near = rows.join(estimate, "cell").withColumn("d", _distance("centre", "inverse"))
-        log_d = F.log2(F.col("d") + 1e-9)
-        cut = _quantile(near, log_d, COVERAGE, log_width)
-        core = near.join(cut, "cell").where(log_d < F.col("edge"))
-        sums = [F.sum(NAMES[i]).alias(f"s{i}") for i in range(p)]
-        sums += [
-            F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}_{j}")
-            for i in range(p)
-            for j in range(i, p)
-        ]
-        estimate = stored(
-            core.groupBy("cell")
-            .agg(F.count("*").alias("n"), *sums)
-            .mapInArrow(_estimates, "cell string, centre array<double>, inverse array<double>")
-        )
+    estimate = starts(rows)
+    for step in range(STEPS):
+        new = stored(concentrated(rows, estimate))
+        if step == 0:
+            estimate = new
+            continue
+        before = estimate.select("cell", "start", F.col("log_det").alias("before"))
+        fall = new.join(before, ["cell", "start"]).agg(F.max(F.col("before") - F.col("log_det")))
+        estimate = stored(_least(estimate.unionByName(new), "cell", "start"))
+        if step + 1 == FIRST_STEPS:
+            estimate = stored(_least(estimate, "cell"))
+        elif (fall.first()[0] or 0.0) <= FALL:
+            break
     # the covariance of the inner rows is too small by a factor, told by the median distance
-    near = rows.join(estimate, "cell").withColumn("d", _distance("centre", "inverse"))
+    known = _per_group(estimate)
+    near = rows.join(known, "cell").withColumn("d", _distance("centre", "inverse"))
     median = _quantile(near, F.log2(F.col("d") + 1e-9), 0.5, log_width)
     scale = F.greatest(F.pow(F.lit(2.0), F.col("edge")) / CHI_MEDIAN, F.lit(1.0))
-    return stored(
-        estimate.join(median, "cell").select("cell", "centre", "inverse", scale.alias("scale"))
+    return _per_group(
+        known.join(median, "cell").select("cell", "centre", "inverse", scale.alias("scale"))
     )
 
 

@@ -595,3 +595,80 @@ def test_rows_of_one_id_are_told_apart(documents):
     texts = Counter(r["text"] for r in clean.where("doc_id = 1").collect())
     assert texts == {"see [secret]": 2, "plain words of a text": 1}
     assert clean.count() == docs.count()
+
+
+# --- quality: the estimates themselves
+
+
+def _vectors(spark, seed, n=240, bad=30):
+    """Correlated vectors in two groups, some of them shifted together."""
+    rnd = np.random.default_rng(seed)
+    rows = []
+    for cell in ("a", "b"):
+        mix = rnd.normal(size=(5, 5)) * 0.4
+        x = rnd.normal(size=(n, 5)) @ mix + rnd.normal(size=5)
+        x[:bad] += rnd.normal(size=5) * 0.2 + 4 * np.sign(rnd.normal(size=5))
+        rows += [(cell, i < bad, *map(float, v)) for i, v in enumerate(x)]
+    schema = "cell string, bad boolean, " + ", ".join(f"{name} double" for name in quality.NAMES)
+    return spark.createDataFrame(rows, schema), rows
+
+
+def _brute_determinant(x, starts=200):
+    """The least log-determinant over concentration steps from many random subsets."""
+    rnd = np.random.default_rng(0)
+    h, floors = math.ceil(quality.COVERAGE * len(x)), np.diag(quality.FLOORS**2)
+    best = (math.inf, None, None)
+    for _ in range(starts):
+        core = x[rnd.choice(len(x), 8, replace=False)]
+        for _ in range(30):
+            centre, covariance = core.mean(0), np.cov(core.T, bias=True) + floors
+            off = x - centre
+            d = np.einsum("ij,jk,ik->i", off, np.linalg.inv(covariance), off)
+            core = x[np.argsort(d)[:h]]
+        covariance = np.cov(core.T, bias=True) + floors
+        best = min(best, (np.linalg.slogdet(covariance)[1], core.mean(0), covariance), key=lambda b: b[0])
+    return best
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_estimates_have_the_least_determinant(spark, seed):
+    df, rows = _vectors(spark, seed)
+    found = {r["cell"]: r for r in quality.robust_estimates(df).collect()}
+    for cell in ("a", "b"):
+        x = np.array([r[2:] for r in rows if r[0] == cell])
+        bad = np.array([r[1] for r in rows if r[0] == cell])
+        log_det, centre, covariance = _brute_determinant(x)
+        inverse = np.array(found[cell]["inverse"]).reshape(5, 5)
+        # the rows nearest to the centre are told by bins, so a few more than h may be in
+        assert -np.linalg.slogdet(inverse)[1] <= log_det + 0.3
+        off = x - np.array(found[cell]["centre"])
+        d = np.einsum("ij,jk,ik->i", off, inverse, off) / found[cell]["scale"]
+        off = x - centre
+        want = np.einsum("ij,jk,ik->i", off, np.linalg.inv(covariance), off)
+        want /= max(np.median(want) / quality.CHI_MEDIAN, 1.0)
+        verdict, other = d > quality.CUTOFF, want > quality.CUTOFF
+        assert verdict[bad].all() and (verdict != other).mean() <= 0.02
+
+
+def test_verdicts_with_repeated_rows_and_long_texts(documents):
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice("abcdefghij") * rnd.randint(1, 7) + str(rnd.randrange(99)) for _ in range(80)) for _ in range(250)]
+    texts += ["word " * 200_000, "#$ " * 60, None, ""]
+    docs = documents(texts)
+    once = {r["doc_id"]: r for r in quality.verdicts(docs).collect()}
+    assert once[251]["kept"] is False and once[252]["n_words"] == 0
+    twice = quality.verdicts(docs.unionByName(docs)).collect()
+    assert len(twice) == 2 * len(texts)
+    for r in twice:
+        assert r["kept"] == once[r["doc_id"]]["kept"]
+
+
+def test_likeness_is_that_of_the_written_fingerprints(documents):
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("abcdefghijk") for _ in range(rnd.randrange(30))) for _ in range(40)]
+    rows = fingerprints.fingerprints(documents([*texts, "", None, "word " * 100_000])).collect()
+    for r in rows:
+        a, b = r["fingerprint"], r["edited_fingerprint"]
+        parts = [[x[i : i + 4] for i in range(0, len(x), 4)] for x in (a, b)]
+        equal = sum(x == y for x, y in zip(*parts)) / 64 if a and b else float(a == b)
+        assert r["near_edited"] == equal
