@@ -5,18 +5,23 @@ The *ordinary* dictionary is trained by zstandard on windows of documents that a
 one holds that instead (the README has figures of both ways). It has, in front of the same
 content, the segments that toxic documents use far more often: beginnings of words, at least five
 bytes and at most eleven characters with the blank before, found by counting them per class. A word
-between the same two neighbours counts once per class, so copies tell nothing. Words of ``UNSPACED`` characters or more are taken as text without blanks, whose segments begin anywhere.
-The ordinary dictionary has a filler in place of the segments, so a window of ``WINDOW`` words is compressed
-alike by both unless it holds such a segment, which only one of them shortens. The bytes saved by
-a document's windows go through a logistic curve that is calibrated on documents that neither
-dictionary has seen; it is shifted so that the cut with the best F1 there scores ``THRESHOLD``.
+between the same two neighbours counts once per class, so copies tell nothing. Words of ``UNSPACED``
+characters or more are taken as text without blanks, whose segments begin anywhere; words of more
+than ``PIECE`` characters are cut into such pieces first. The ordinary dictionary has a filler in place
+of the segments, so a window of ``WINDOW`` words is compressed alike by both unless it holds such a
+segment, which only one of them shortens. The bytes saved by a document's windows go through a
+logistic curve that is calibrated on documents that neither dictionary has seen; it is shifted so
+that the cut with the best F1 there scores ``THRESHOLD``.
 
 Training takes the labelled documents with ``crc32(doc_id as text) % 3`` 0 for the dictionaries
-and 2 for the calibration; 1 is held out. Of each, at most ``SAMPLE`` documents per class are
-taken, those with the least hashes of their ids. For the dictionaries, at most ``SAMPLE_WORDS`` words
-of each are read, in runs spread evenly over the text; the calibration reads whole texts, as scoring
-does, where they are, and weights each document by the labelled ones of its class that it stands
-for, so the cut does not depend on how many there are. The driver holds no more than that.
+and 2 for the calibration; 1 is held out, and nothing is chosen by it. Of each, at most ``SAMPLE``
+documents per class are taken, those with the least hashes of their ids, with their whole texts.
+Spark counts the segments; the driver gets those that may tell something, the windows for
+zstandard, those with the least hashes up to ``TRAINING_BYTES``, and the calibration's features. How
+much more often a segment must be toxic is one of ``SETTINGS``, chosen by cross-validation: the
+calibration documents are halved, and each half judged by a curve that the other one gave.
+Calibration weights each document by the labelled ones of its class that it stands for, so the cut
+does not depend on how many there are.
 
 Defined cases: a null or empty text saves nothing and gets the score of no windows; without
 labelled documents of both classes every score is 0; labels without a class or document
@@ -28,7 +33,6 @@ rows are scored each; an empty table gives no rows; other columns are ignored
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,27 +43,27 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from monthlens.llm.rawtext import few_rows
-from monthlens.llm.shared import text_or_empty
+from monthlens.llm.shared import stored, text_or_empty
 
 WINDOW = 12
 THRESHOLD = 0.7
 SAMPLE = 3000
-SAMPLE_WORDS = 2000
 DICTIONARY_BYTES = 32768
 SEGMENT_BYTES = 2048
+#: windows for the ordinary dictionary: a hundred times its size and more
 TRAINING_WINDOWS = 40000
+TRAINING_BYTES = 8 << 20
 LEVEL = 6
 #: Segments: their least bytes (zstandard finds no shorter match) and most characters with the
-#: blank, the least number of toxic documents, how much more often toxic documents must use them,
-#: and the least log-likelihood ratio of their documents per class. None is a share of the
-#: toxic documents, so a small language or topic counts as well.
+#: blank, and the least number of toxic documents. None is a share of the toxic documents, so a
+#: small language or topic counts as well.
 SHORTEST, LONGEST = 5, 11
 SUPPORT = 4
-RATIO = 10.0
-EVIDENCE = 18.0
+#: How much more often toxic documents must use a segment, and the least log-likelihood ratio of
+#: its documents per class. The first of equally good ones is taken.
+SETTINGS = ((10.0, 18.0), (5.0, 12.0), (40.0, 15.0))
 UNSPACED = 24
-#: Slots for words with their neighbours, more than ten times those of a full sample.
-CONTEXTS = 1 << 26
+PIECE = 256
 #: The end of a dictionary's header in the public format: three repeated offsets, 1, 4 and 8.
 _OFFSETS = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"
 
@@ -68,28 +72,23 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
 
 
-def windows(text: str) -> list[bytes]:
+def split_words(text: str) -> list[str]:
+    """Lower-case words, long ones in pieces."""
     words = text.lower().split()
+    if len(text) <= PIECE or max(map(len, words), default=0) <= PIECE:
+        return words
+    return [word[i : i + PIECE] for word in words for i in range(0, len(word), PIECE)]
+
+
+def windows(text: str) -> list[bytes]:
+    words = split_words(text)
     return [
         (" " + " ".join(words[i : i + WINDOW])).encode() for i in range(0, len(words), WINDOW)
     ]
 
 
-def _fresh_words(texts: list[str]) -> Iterator[Counter]:
-    """The words of each text, without those between neighbours they had in a text before."""
-    seen = bytearray(CONTEXTS)
-    for text in texts:
-        words = text.lower().split()
-        found: Counter = Counter()
-        for before, word, after in zip(["", *words], words, [*words[1:], ""], strict=False):
-            at = zlib.crc32(f"{before} {word} {after}".encode()) % CONTEXTS
-            if not seen[at]:
-                seen[at] = 1
-                found[word] += 1
-        yield found
-
-
-def _segment_counts(words: Counter) -> Counter:
+def _segments(words: dict[str, int]) -> Counter:
+    """The segments of words that come so many times."""
     found: Counter = Counter()
     for word, times in words.items():
         word = " " + word.strip(".,!?;:#%&$*|\"'")
@@ -110,37 +109,91 @@ def _evidence(toxic: float, ordinary: float, share: float) -> float:
     return 2 * sum(n * math.log(n / want) for n, want in pairs if n)
 
 
-def toxic_segments(toxic: list[str], ordinary: list[str]) -> list[str]:
-    """Segments of toxic texts, the most telling last."""
-    weight: list[Counter] = [Counter(), Counter()]
-    support: Counter = Counter()
-    for words in _fresh_words(toxic):
-        for segment, times in _segment_counts(words).items():
-            # repetitions within a text count less and less
-            weight[1][segment] += math.log2(1 + times)
-            support[segment] += 1
-    frequent = {s: n for s, n in support.items() if n >= SUPPORT}
-    for words in _fresh_words(ordinary):
-        for segment, times in _segment_counts(words).items():
-            if segment in frequent:
-                weight[0][segment] += math.log2(1 + times)
-    share = len(toxic) / max(len(toxic) + len(ordinary), 1)
-    good = {
-        s
-        for s, n in frequent.items()
-        if weight[1][s] / len(toxic) >= RATIO * (weight[0][s] + 1) / max(len(ordinary), 1)
-        and _evidence(n, weight[0][s], share) >= EVIDENCE
+def segment_counts(sample: DataFrame) -> DataFrame:
+    """``segment, support, toxic_weight, ordinary_weight`` of a sample (``toxic, doc_id, text``).
+
+    ``support`` counts the toxic documents; a document's weight is the logarithm of its uses, so
+    repetitions within a text count less and less. Only segments with ``SUPPORT`` are given.
+    """
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches, 32):
+            for toxic, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = split_words(text)
+                uses = set(zip(["", *words], words, [*words[1:], ""], strict=False))
+                before, word, after = zip(*uses, strict=True) if uses else ((), (), ())
+                yield pa.record_batch(
+                    {
+                        "toxic": pa.array([toxic] * len(uses), pa.int32()),
+                        "doc_id": pa.array([doc_id] * len(uses), pa.int64()),
+                        "word": pa.array(word, pa.string()),
+                        "between": pa.array([f"{a} {b}" for a, b in zip(before, after, strict=True)], pa.string()),
+                    }
+                )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches, 4096):
+            rows = []
+            for toxic, doc_id, word, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += [(toxic, doc_id, s, n) for s, n in _segments({word: times}).items()]
+            names = ("toxic", "doc_id", "segment", "times")
+            types = (pa.int32(), pa.int64(), pa.string(), pa.int64())
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            yield pa.record_batch(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names)
+            )
+
+    rows = sample.select("toxic", F.col("doc_id").cast("long"), "text")
+    uses = rows.mapInArrow(contexts, "toxic int, doc_id long, word string, between string")
+    first = uses.groupBy("toxic", "word", "between").agg(F.min("doc_id").alias("doc_id"))
+    words = first.groupBy("toxic", "doc_id", "word").agg(F.count("*").alias("times"))
+    parts = words.select("toxic", "doc_id", "word", "times").mapInArrow(
+        cut, "toxic int, doc_id long, segment string, times long"
+    )
+    of_doc = parts.groupBy("segment", "toxic", "doc_id").agg(F.sum("times").alias("times"))
+    weight = F.log2(1 + F.col("times"))
+    is_toxic = F.col("toxic") == 1
+    counted = of_doc.groupBy("segment").agg(
+        F.count_if(is_toxic).alias("support"),
+        F.coalesce(F.sum(F.when(is_toxic, weight)), F.lit(0.0)).alias("toxic_weight"),
+        F.coalesce(F.sum(F.when(~is_toxic, weight)), F.lit(0.0)).alias("ordinary_weight"),
+    )
+    return counted.where(F.col("support") >= SUPPORT)
+
+
+def telling(counts: DataFrame, n_toxic: int, n_ordinary: int) -> DataFrame:
+    """The segments that may tell something under any of ``SETTINGS``."""
+    least = min(ratio for ratio, _ in SETTINGS)
+    common = (F.col("ordinary_weight") + 1) / max(n_ordinary, 1)
+    return counts.where(F.col("toxic_weight") / n_toxic >= least * common)
+
+
+def toxic_segments(
+    counts: list[tuple], n_toxic: int, n_ordinary: int, ratio: float, evidence: float
+) -> list[str]:
+    """The segments for the dictionary, the most telling last."""
+    share = n_toxic / max(n_toxic + n_ordinary, 1)
+    weight = {
+        segment: toxic
+        for segment, support, toxic, ordinary in counts
+        if toxic / n_toxic >= ratio * (ordinary + 1) / max(n_ordinary, 1)
+        and _evidence(support, ordinary, share) >= evidence
     }
     roots: set[str] = set()
-    for segment in sorted(good, key=lambda s: (len(s), s)):
+    for segment in sorted(weight, key=lambda s: (len(s), s)):
         if not any(segment[:n] in roots for n in range(2, len(segment))):
             roots.add(segment)
+    longer: dict[str, list[str]] = {root: [] for root in roots}
+    for segment in weight:
+        for n in range(2, len(segment) + 1):
+            if segment[:n] in longer:
+                longer[segment[:n]].append(segment)
     kept = set()
-    for root in roots:
+    for root, segments in longer.items():
         # as long as nearly all uses go on alike
-        alike = [s for s in good if s.startswith(root) and weight[1][s] >= 0.9 * weight[1][root]]
+        alike = [s for s in segments if weight[s] >= 0.9 * weight[root]]
         kept.add(max(alike, key=lambda s: (len(s), s)))
-    return sorted(kept, key=lambda s: (weight[1][s], s))
+    return sorted(kept, key=lambda s: (weight[s], s))
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -157,11 +210,9 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     )
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionaries as content."""
-    segments = [segment.encode() for segment in toxic_segments(toxic, ordinary)]
-    samples = [w for text in ordinary for w in windows(text)]
-    samples = samples[:: max(1, len(samples) // TRAINING_WINDOWS)]
+def train_dictionaries(found: list[str], samples: list[bytes]) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) dictionaries as content, from segments and ordinary windows."""
+    segments = [segment.encode() for segment in found]
     # the few that ordinary texts have are left out, or both dictionaries would shorten them
     samples = [w for w in samples if not any(segment in w for segment in segments)]
     try:
@@ -174,6 +225,25 @@ def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, by
     return b"\xff" * len(marks) + content, marks + content
 
 
+def training_windows(sample: DataFrame) -> list[bytes]:
+    """Ordinary windows for zstandard: those with the least hashes, in that order."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches, 32):
+            for text in batch.column("text").to_pylist():
+                yield pa.record_batch({"w": pa.array(windows(text), pa.binary())})
+
+    ordinary = sample.where("toxic = 0").select("text").mapInArrow(cut, "w binary")
+    some = ordinary.orderBy(F.xxhash64("w"), "w").limit(TRAINING_WINDOWS)
+    found, size = [], 0
+    for row in some.toLocalIterator():
+        size += len(row["w"])
+        if size > TRAINING_BYTES and found:
+            break
+        found.append(bytes(row["w"]))
+    return found
+
+
 @dataclass(frozen=True)
 class Model:
     """Dictionaries and calibration; a few dozen kilobytes."""
@@ -240,22 +310,6 @@ def _best_cut(p: np.ndarray, y: np.ndarray, times: np.ndarray) -> float:
     return float(np.clip((p[order[at]] + below) / 2, 0.25, 0.98))
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of longer texts, runs of a window's words, spread evenly over the whole text."""
-    most = SAMPLE_WORDS // WINDOW
-    for batch in batches:
-        texts = []
-        for text in batch.column("text").to_pylist():
-            words = text.split()
-            runs = [words[i : i + WINDOW] for i in range(0, len(words), WINDOW)]
-            if len(runs) > most:
-                runs = [runs[i * len(runs) // most] for i in range(most)]
-            texts.append(" ".join(" ".join(run) for run in runs))
-        yield pa.record_batch(
-            [batch.column("toxic"), pa.array(texts, pa.string())], names=["toxic", "text"]
-        )
-
-
 def _marked(labels: DataFrame) -> DataFrame:
     return (
         labels.where("toxic is not null and doc_id is not null")
@@ -265,7 +319,7 @@ def _marked(labels: DataFrame) -> DataFrame:
 
 
 def _sampled_texts(docs: DataFrame, labels: DataFrame, number: int) -> DataFrame:
-    """``toxic, text`` of at most ``SAMPLE`` documents per class of a fold; whole texts."""
+    """``toxic, doc_id, text`` of at most ``SAMPLE`` documents per class of a fold; whole texts."""
     picked = None
     for toxic in (0, 1):
         of_class = _marked(labels).where((fold() == number) & (F.col("toxic") == toxic))
@@ -276,53 +330,81 @@ def _sampled_texts(docs: DataFrame, labels: DataFrame, number: int) -> DataFrame
     return (
         docs.select("doc_id", text_or_empty().alias("text"))
         .join(F.broadcast(picked), "doc_id")
-        .select("toxic", "text")
+        .select("toxic", "doc_id", "text")
     )
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``toxic, text`` for the dictionaries, of at most ``SAMPLE_WORDS`` words each."""
-    return _sampled_texts(docs, labels, 0).mapInArrow(_sampled, "toxic int, text string")
-
-
 def calibration_rows(
-    docs: DataFrame, labels: DataFrame, model: Model
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of whole texts, classes, and how many labelled documents each row stands for."""
+    docs: DataFrame, labels: DataFrame, models: list[Model]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features of whole texts by model, classes, how many labelled documents each row stands for,
+    and which half it is in."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorers = [Scorer(model) for model in models]
         for batch in few_rows(batches):
-            found = [scorer.features(text) for text in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            found = [[x for scorer in scorers for x in scorer.features(text)] for text in texts]
             yield pa.record_batch(
-                [batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))],
-                names=["toxic", "features"],
+                [batch.column("toxic"), batch.column("half"), pa.array(found, pa.list_(pa.float64()))],
+                names=["toxic", "half", "features"],
             )
 
     sizes = _marked(labels).where(fold() == 2).groupBy("toxic").count().collect()
     times = {r["toxic"]: max(1.0, r["count"] / SAMPLE) for r in sizes}  # one row per class
-    rows = _sampled_texts(docs, labels, 2).mapInArrow(
-        measured, "toxic int, features array<double>"
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
+    rows = _sampled_texts(docs, labels, 2).select("toxic", half, "text").mapInArrow(
+        measured, "toxic int, half int, features array<double>"
     )
     # bounded by SAMPLE; sorted, as sums depend on the order
-    told = sorted((r["toxic"], r["features"]) for r in rows.collect())
-    x = np.array([features for _, features in told])
-    y = np.array([float(toxic) for toxic, _ in told])
-    return x, y, np.array([times[toxic] for toxic, _ in told])
+    told = sorted((r["toxic"], r["half"], r["features"]) for r in rows.collect())
+    x = np.array([features for *_, features in told]).reshape(len(told), len(models), -1)
+    y = np.array([float(toxic) for toxic, *_ in told])
+    weights = np.array([times[toxic] for toxic, *_ in told])
+    return x.transpose(1, 0, 2), y, weights, np.array([half for _, half, _ in told])
+
+
+def _fitted(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, float]:
+    weights = _logistic(x, y, times)
+    return weights, _best_cut(_curve(x, weights), y, times)
+
+
+def _curve(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
+
+
+def cross_validated(x: np.ndarray, y: np.ndarray, times: np.ndarray, half: np.ndarray) -> float:
+    """F1 where each half is judged by the curve and the cut of the other."""
+    predicted = np.zeros(len(y))
+    for h in (0, 1):
+        learn, judge = half != h, half == h
+        if len(set(y[learn].tolist())) < 2:
+            return 0.0
+        weights, cut = _fitted(x[learn], y[learn], times[learn])
+        predicted[judge] = _curve(x[judge], weights) >= cut
+    hits = (times * y * predicted).sum()
+    return float(2 * hits / max((times * (y + predicted)).sum(), 1e-9))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = training_sample(docs, labels).collect()  # bounded by SAMPLE and SAMPLE_WORDS
-    texts = {c: sorted(r["text"] for r in rows if r["toxic"] == c) for c in (0, 1)}
-    if not (texts[1] and texts[0]):
+    sample = stored(_sampled_texts(docs, labels, 0))
+    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if not (sizes.get(0) and sizes.get(1)):
         return Model(b" ", b" ")
-    model = Model(*train_dictionaries(texts[1], texts[0]))
-    x, y, times = calibration_rows(docs, labels, model)
+    n = (sizes[1], sizes[0])
+    counts = sorted(map(tuple, telling(segment_counts(sample), *n).collect()))
+    samples = training_windows(sample)
+    models = [
+        Model(*train_dictionaries(toxic_segments(counts, *n, *setting), samples))
+        for setting in SETTINGS
+    ]
+    x, y, times, half = calibration_rows(docs, labels, models)
     if len(set(y.tolist())) < 2:
-        return model
-    weights = _logistic(x, y, times)
-    p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
-    return Model(model.ordinary, model.toxic, tuple(weights.tolist()), _best_cut(p, y, times))
+        return models[0]
+    merits = [cross_validated(x[k], y, times, half) for k in range(len(models))]
+    best = int(np.argmax(merits))
+    weights, cut = _fitted(x[best], y, times)
+    return Model(models[best].ordinary, models[best].toxic, tuple(weights.tolist()), cut)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:

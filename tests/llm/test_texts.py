@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
@@ -371,7 +372,7 @@ def test_toxicity(spark, documents):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in rows.items() if not r["predicted"]}
 
 
-def test_telling_words_of_small_groups():
+def test_telling_words_of_small_groups(spark):
     """Words of 2% of the toxic documents, of three letters, and in text without blanks."""
     rnd = random.Random(12)
     letters = "".join(chr(0x4E00 + i) for i in range(400))
@@ -386,10 +387,14 @@ def test_telling_words_of_small_groups():
         return " ".join(words)
 
     toxic, ordinary = [text(i, True) for i in range(400)], [text(i, False) for i in range(2000)]
-    found = toxicity.toxic_segments(toxic, ordinary)
+    rows = [(int(i < 400), i, t) for i, t in enumerate(toxic + ordinary)]
+    sample = spark.createDataFrame(rows, "toxic int, doc_id long, text string")
+    counts = sorted(map(tuple, toxicity.telling(toxicity.segment_counts(sample), 400, 2000).collect()))
+    found = toxicity.toxic_segments(counts, 400, 2000, *toxicity.SETTINGS[0])
     for telling in ("vilething", "foulmouth", " zqx ", "\u574f\u86cb"):
         assert any(telling in s or s.strip() in telling for s in found), telling
-    scorer = toxicity.Scorer(toxicity.Model(*toxicity.train_dictionaries(toxic, ordinary)))
+    windows = toxicity.training_windows(sample)
+    scorer = toxicity.Scorer(toxicity.Model(*toxicity.train_dictionaries(found, windows)))
     told = [scorer.features(t)[0] > 0 for t in toxic]
     assert all(told[i] for i in range(400) if i % 10 == 0 or i % 50 == 1 or i % 3)
     assert sum(told) >= 350  # not every window with a word of three letters gets shorter
@@ -404,12 +409,12 @@ def test_calibration_is_that_of_all_rows(spark, documents, monkeypatch):
     labels = labels.unionByName(spark.createDataFrame([(5005, 1)], labels.schema))
     assert docs.where(toxicity.fold() == 2).where("doc_id = 5005").count() == 1
     model = toxicity.train(docs, labels)
-    x, y, times = toxicity.calibration_rows(docs, labels, model)
+    (x,), y, times, _ = toxicity.calibration_rows(docs, labels, [model])
     assert set(times) == {1.0}
     whole = toxicity.Scorer(model).features(long.first()["text"])
-    assert whole in x.tolist()  # not of SAMPLE_WORDS words
+    assert whole in x.tolist()  # of the whole text
     monkeypatch.setattr(toxicity, "SAMPLE", 50)
-    some_x, some_y, some_times = toxicity.calibration_rows(docs, labels, model)
+    _, some_y, some_times, _ = toxicity.calibration_rows(docs, labels, [model])
     assert Counter(some_y) == {0.0: 50, 1.0: 50}
     for toxic in (0, 1):
         assert some_times[some_y == toxic].sum() == pytest.approx((y == toxic).sum())
@@ -672,3 +677,65 @@ def test_likeness_is_that_of_the_written_fingerprints(documents):
         parts = [[x[i : i + 4] for i in range(0, len(x), 4)] for x in (a, b)]
         equal = sum(x == y for x, y in zip(*parts)) / 64 if a and b else float(a == b)
         assert r["near_edited"] == equal
+
+
+# --- toxicity: segments and settings
+
+
+def _plain_counts(sample):
+    """Segment counts without Spark."""
+    seen, uses = set(), {}
+    for toxic, doc, text in sorted(sample, key=lambda row: row[1]):
+        words = toxicity.split_words(text)
+        for use in zip(["", *words], words, [*words[1:], ""], strict=False):
+            if (toxic, use) not in seen:
+                seen.add((toxic, use))
+                uses.setdefault((toxic, doc), Counter())[use[1]] += 1
+    found = {}
+    for (toxic, _), words in uses.items():
+        for segment, times in toxicity._segments(words).items():
+            row = found.setdefault(segment, [0, 0.0, 0.0])
+            row[0] += toxic
+            row[1 if toxic else 2] += math.log2(1 + times)
+    return {s: tuple(row) for s, row in found.items() if row[0] >= toxicity.SUPPORT}
+
+
+def test_segments_are_counted_in_whole_texts(spark):
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    rows = [(int(i % 3 == 0), i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(60)))) for i in range(60)]
+    rows += [(1, 60, "vile" * 30_000), (0, 61, "x" * 70_000), (1, 62, rows[0][2]), (0, 63, "")]
+    sample = spark.createDataFrame(rows, "toxic int, doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in toxicity.segment_counts(sample).collect()}
+    want = _plain_counts(rows)
+    assert got.keys() == want.keys()
+    assert all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_long_texts_without_blanks(spark, documents):
+    docs, labels = _labelled(spark, documents, 300)
+    rnd = random.Random(3)
+    run = "".join(rnd.choice("aeionrst") for _ in range(300_000))
+    ids = [i for i in range(6000, 6060)]
+    docs = docs.unionByName(documents([(i, run[i : i + 200_000 * (i % 20 == 0) + 90]) for i in ids]))
+    labels = labels.unionByName(spark.createDataFrame([(i, i % 2) for i in ids], labels.schema))
+    assert max(map(len, toxicity.windows(run))) <= toxicity.WINDOW * (toxicity.PIECE + 1)
+    rows = toxicity.scores(docs, toxicity.train(docs, labels)).collect()
+    assert len(rows) == docs.count()
+
+
+def test_held_out_labels_are_not_learned_from(spark, documents):
+    docs, labels = _labelled(spark, documents, 300)
+    turned = labels.withColumn("toxic", F.when(toxicity.fold() == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert toxicity.train(docs, labels) == toxicity.train(docs, turned)
+    assert toxicity.train(docs, labels.where(toxicity.fold() != 1)) == toxicity.train(docs, labels)
+
+
+def test_settings_are_cross_validated():
+    rnd = np.random.default_rng(2)
+    y = (rnd.random(2000) < 0.2).astype(float)
+    half = rnd.integers(0, 2, len(y))
+    ones = np.ones(len(y))
+    good, bad = (np.stack([rnd.normal(size=len(y)) + gap * y, ones], axis=1) for gap in (4, 0.5))
+    assert toxicity.cross_validated(good, y, ones, half) > 0.9 > toxicity.cross_validated(bad, y, ones, half)
+    assert toxicity.cross_validated(good, y * 0, ones, half) == 0
