@@ -584,23 +584,46 @@ def _chunk_pairs(members: DataFrame) -> DataFrame:
     )
 
 
+#: A node with more edges than this is busy; of ``n`` edges, at most ``n / 500`` nodes are.
+BUSY = 1000
+BROADCAST_NODES = 100_000
+
+
+def _with_value(rows: DataFrame, values: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """``rows`` joined with ``values`` (``key``, ``least``, ``n``): one row per key, of ``n`` rows.
+
+    Busy keys are few, and their values are broadcast, so that the rows of one, the centre of a
+    star, stay where they are. The others are joined by shuffle.
+    """
+    values = scratch.stored(values)
+    busy = values.where(F.col("n") > BUSY).select(key, "least")
+    if not 0 < busy.count() <= BROADCAST_NODES:
+        return rows.join(values.drop("n"), key)
+    here = rows.join(F.broadcast(busy), key)
+    others = rows.join(F.broadcast(busy.select(key)), key, "left_anti")
+    calm = values.where(F.col("n") <= BUSY).select(key, "least")
+    return here.unionByName(others.join(calm, key))
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, component``: the least node of each connected component, by star contraction."""
     while True:
         # large star: greater neighbours go to the least neighbour
         both = edges.union(edges.select(F.col("b"), F.col("a")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+        least = both.groupBy("a").agg(
+            F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("n")
+        )
         large = (
-            both.where("b > a")
-            .join(least, "a")
+            _with_value(both.where("b > a"), least, "a", scratch)
             .select(F.col("least").alias("a"), "b")
             .where("a != b")
             .distinct()
         )
+        large = scratch.stored(large)
         # small star: smaller neighbours and the node itself go to the least
-        low = large.groupBy("b").agg(F.min("a").alias("least"))
+        low = large.groupBy("b").agg(F.min("a").alias("least"), F.count("*").alias("n"))
         small = (
-            large.join(low, "b")
+            _with_value(large, low, "b", scratch)
             .select(F.col("least").alias("a"), F.explode(F.array("a", "b")).alias("b"))
             .where("a != b")
             .distinct()

@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
 A model file is compiled into three machines. The *normaliser* maps a blank to the word mark and
-puts one before the text. The *piece* machine is the set of pieces with the weight -score each, plus
+puts one before the text; a model's character map becomes arcs of it, and runs of blanks one blank
+where the model says so. The *piece* machine is the set of pieces with the weight -score each, plus
 arcs for characters outside the vocabulary, which the *byte fallback* writes as byte pieces.
 The machines are composed with an input lazily: a state is a position, an arc a piece that begins
 there, and the shortest path in the tropical semiring (least sum of weights) is the encoding.
@@ -15,10 +16,10 @@ of finite weight is left, and each position has one last piece. Pairs are judged
 Texts fall apart at word marks and at characters outside the alphabet where no piece reaches over
 them; equal parts are encoded once per worker (a bounded table).
 
-Defined cases: a null or empty text has no ids and decodes to the empty text; models whose
-normaliser rewrites characters are refused when compiled; repeated rows are encoded each; an empty
-table gives no rows; other columns are ignored. Decoding gives the text back byte by byte,
-as every byte has a piece; bytes of ids that are no text become replacement characters.
+Defined cases: a null or empty text has no ids and decodes to the empty text; repeated rows are
+encoded each; an empty table gives no rows; other columns are ignored. Decoding gives the normalised
+text back byte by byte, as every byte has a piece; bytes of ids that are no text become replacement
+characters.
 """
 
 from __future__ import annotations
@@ -43,6 +44,85 @@ PAIRS = 1_000_000
 _UNKNOWN_PENALTY = 10.0
 
 
+class Normaliser:
+    """The first transducer: characters to characters, and blanks to marks.
+
+    The model's character map is a trie of byte strings with their replacements, stored as a double
+    array. It is unfolded into arcs by their first character, longest first; a character without an
+    arc stays as it is. At each position the longest arc is taken.
+    """
+
+    def __init__(self, spec):
+        self.prefix = spec.add_dummy_prefix
+        self.squeezes = spec.remove_extra_whitespaces
+        if not spec.escape_whitespaces:
+            raise ValueError("this model keeps blanks")
+        arcs: dict[str, list[tuple[str, str]]] = {}
+        for source, target in unfolded(spec.precompiled_charsmap):
+            arcs.setdefault(source[0], []).append((source, target))
+        self.arcs = {
+            first: sorted(some, key=lambda arc: -len(arc[0])) for first, some in arcs.items()
+        }
+        first = "".join(map(re.escape, sorted(self.arcs)))
+        self.special = re.compile(f"[{first}]") if first else None
+
+    def _mapped(self, text: str) -> str:
+        if self.special is None:
+            return text
+        out, at = [], 0
+        for found in self.special.finditer(text):
+            begin = found.start()
+            if begin < at:  # inside an arc that has been taken
+                continue
+            for source, target in self.arcs[found.group()]:
+                if text.startswith(source, begin):
+                    out += (text[at:begin], target)
+                    at = begin + len(source)
+                    break
+        out.append(text[at:])
+        return "".join(out)
+
+    def __call__(self, text: str) -> str:
+        text = self._mapped(text)
+        if self.squeezes:
+            text = _BLANKS.sub(" ", text.strip(" "))
+        if not text:
+            return ""
+        return (MARK if self.prefix else "") + text.replace(" ", MARK)
+
+
+_BLANKS = re.compile("  +")
+
+
+def unfolded(charsmap: bytes) -> Iterator[tuple[str, str]]:
+    """(characters, replacement) of a character map: a double array, then the replacements.
+
+    A unit of the array has its label in the low byte, a flag for a value at its children, and the
+    offset of those; a value is the place of the replacement, which ends with a zero byte.
+    """
+    if not charsmap:
+        return
+    size = int.from_bytes(charsmap[:4], "little")
+    units = np.frombuffer(charsmap, "<u4", size // 4, 4).tolist()
+    texts = charsmap[4 + size :]
+
+    def children(unit: int) -> int:
+        return (unit >> 10) << ((unit & 1 << 9) >> 6)
+
+    waiting = [(children(units[0]), b"")]
+    while waiting:
+        base, key = waiting.pop()
+        for byte in range(1, 256):
+            at = base ^ byte
+            if at >= len(units) or units[at] & 0x800000FF != byte:
+                continue
+            inside, longer = at ^ children(units[at]), key + bytes([byte])
+            if units[at] >> 8 & 1:
+                begin = units[inside] & 0x7FFFFFFF
+                yield longer.decode(), texts[begin : texts.index(b"\0", begin)].decode()
+            waiting.append((inside, longer))
+
+
 class Machine:
     """A compiled model."""
 
@@ -53,9 +133,8 @@ class Machine:
         proto.ParseFromString(model)
         kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
         spec = proto.normalizer_spec
-        if spec.precompiled_charsmap or spec.remove_extra_whitespaces:
-            raise ValueError("this model rewrites characters or blanks")
-        self.prefix = spec.add_dummy_prefix
+        self.normaliser = Normaliser(spec)
+        self.prefix = spec.add_dummy_prefix or spec.remove_extra_whitespaces
         self.bpe = proto.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
         self.pieces = [p.piece for p in proto.pieces]
         self.byte_of = {
@@ -215,9 +294,7 @@ class Machine:
         return found
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        normal = (MARK if self.prefix else "") + text.replace(" ", MARK)
+        normal = self.normaliser(text)
         known = self._parts
         ids: list[int] = []
         for part in self.split.findall(normal):

@@ -6,6 +6,7 @@ import pytest
 
 import brute
 from monthlens.llm import jaccard, repeats
+from monthlens.llm.shared import Scratch
 
 
 def _word(rnd):
@@ -190,3 +191,28 @@ def test_repeats_with_clashing_columns(documents):
     assert {r["doc_id"]: r["text"] for r in kept.collect()} == {0: text, 1: " end"}
     want = brute.repeats({0: text, 1: text + " end"})
     assert _repeats(docs) == want
+
+
+@pytest.mark.parametrize("busy", [3, 1000])
+def test_components_of_stars_and_chains(spark, monkeypatch, busy):
+    monkeypatch.setattr(jaccard, "BUSY", busy)
+    rnd = random.Random(2)
+    edges = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)]
+    edges += [(min(e), max(e)) for e in ((rnd.randrange(200, 260), rnd.randrange(200, 260)) for _ in range(50)) if e[0] != e[1]]
+    rnd.shuffle(edges)
+    parent = list(range(300))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    scratch = Scratch(spark)
+    found = jaccard.components(spark.createDataFrame(edges, "a long, b long"), scratch)
+    nodes = {x for e in edges for x in e}
+    want = {(x, root(x)) for x in nodes if root(x) != x}
+    assert {tuple(r) for r in found.select("node", "component").collect()} == want
+    scratch.clear()

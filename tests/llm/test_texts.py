@@ -739,3 +739,98 @@ def test_settings_are_cross_validated():
     good, bad = (np.stack([rnd.normal(size=len(y)) + gap * y, ones], axis=1) for gap in (4, 0.5))
     assert toxicity.cross_validated(good, y, ones, half) > 0.9 > toxicity.cross_validated(bad, y, ones, half)
     assert toxicity.cross_validated(good, y * 0, ones, half) == 0
+
+
+# --- licenses: against exact containment anywhere in a text
+
+
+def _containments(text):
+    """Per template, the most of its shingles that one stretch of its length about a word holds."""
+    words = licenses._words(text or "")
+    there = [" ".join(words[i : i + 5]) for i in range(len(words) - 4)]
+    found = {}
+    for name, template in licenses.TEMPLATES.items():
+        own = licenses._words(template)
+        shingles = {" ".join(own[i : i + 5]) for i in range(len(own) - 4)}
+        hits = [i for i, s in enumerate(there) if s in shingles]
+        size = len(own) - 4
+        found[name] = max(
+            (len({there[i] for i in hits if start <= i <= start + 3 * size}) / len(shingles) for start in hits),
+            default=0.0,
+        )
+    return found
+
+
+def _altered(rnd, template):
+    """A copy of a template with some words changed, dropped or added, in other text."""
+    words = template.split()
+    for _ in range(rnd.choice((0, 0, 1, 1, 2, 3)) if len(words) > 12 else 0):
+        at = rnd.randrange(len(words))
+        words[at : at + 1] = rnd.choice(([], [words[at], "indeed"], ["other"]))
+    filler = lambda: " ".join(rnd.choice(("some", "of", "these", "words", "are", "new")) for _ in range(rnd.randrange(200)))
+    return f"{filler()} {' '.join(words)} {filler()}"
+
+
+def test_license_recall_on_altered_copies(documents):
+    rnd = random.Random(31)
+    texts = [_altered(rnd, rnd.choice(list(licenses.TEMPLATES.values()))) for _ in range(500)]
+    texts += [None, "", "license " * 50_000 + licenses.TEMPLATES["mit"] + " license" * 50_000]
+    docs = documents(texts)
+    found = {(r["doc_id"], r["template"]): r for r in licenses.scan(docs).collect()}
+    containments = {i: _containments(t) for i, t in enumerate(texts)}
+    want = {(i, n) for i, c in containments.items() for n, share in c.items() if share >= 0.8}
+    assert set(found) <= want
+    assert len(found) >= 0.95 * len(want) and len(want) > 400
+    assert (502, "mit") in found and found[502, "mit"]["first_word"] == 50_000
+    twice = licenses.report(docs.unionByName(docs)).collect()
+    assert len(twice) == 2 * len(texts)
+    assert sum(r["n_licenses"] for r in twice) == 2 * len(found)
+
+
+# --- pieces: the normaliser
+
+
+def _with_map(rule, squeeze, prefix=True):
+    """The public model with a character map of the library's."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    made = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    spec = pb.NormalizerSpec()
+    spec.ParseFromString(made.serialized_normalizer_spec())
+    proto = pb.ModelProto()
+    proto.ParseFromString(pieces.read_model(MODEL))
+    proto.normalizer_spec.precompiled_charsmap = spec.precompiled_charsmap
+    proto.normalizer_spec.remove_extra_whitespaces = squeeze
+    proto.normalizer_spec.add_dummy_prefix = prefix
+    return proto.SerializeToString()
+
+
+@pytest.mark.parametrize(
+    ("rule", "squeeze", "prefix"),
+    [("nmt_nfkc", True, True), ("nmt_nfkc_cf", False, True), ("nfkc", True, False), ("identity", True, True)],
+)
+def test_character_maps_like_the_library(rule, squeeze, prefix):
+    import sentencepiece
+
+    raw = _with_map(rule, squeeze, prefix)
+    library = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    machine = pieces.Machine(raw)
+    rnd = random.Random(17)
+    pool = "ab c  A\u00c5\ufb01\uff21\u2460\u00bd\u3000\t\n\u200b\u00ad e\u0301\uac00\u1100\u1161\u11a8\u0130\u1e9e\u2126"
+    texts = ["", " ", "   ", " two  blanks ", "\u3000", "\ufb01nal", "word " * 3000, "x" * 3000]
+    texts += ["".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 40))) for _ in range(400)]
+    texts += [f"a{chr(c)}b" for c in range(0x21, 0x3000, 7) if not 0xD800 <= c < 0xE000]
+    for text in texts:
+        assert machine.encode(text) == library.encode(text), text
+        assert machine.decode(machine.encode(text)) == library.decode(library.encode(text))
+
+
+def test_pieces_of_very_long_texts_and_repeated_rows(documents):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rnd = random.Random(19)
+    texts = ["long words here " * 40_000, "".join(rnd.choice("etaoin") for _ in range(5000)), "twice", "twice"]
+    encoded = pieces.encode(documents([*texts, None]), pieces.read_model(MODEL)).collect()
+    assert {r["doc_id"]: r["ids"] for r in encoded} == {i: library.encode(t) for i, t in enumerate([*texts, ""])}
