@@ -10,10 +10,10 @@ All stages but the last return the columns of ``documents``; where a text change
 follows it.
 
 Defined cases: a null text stays null and is empty to every stage; documents with an empty set of
-shingles are near copies of nothing; of repeated rows with an id one stays, and rows without id
-all stay, as nothing tells which of them is which; without labels nothing is toxic; ties go to the
-smaller id; an empty table passes every stage and gives no rows; further columns are passed on up
-to the last stage.
+shingles are near copies of nothing; repeated rows of an id are one document and stay or go
+together, and rows without id all stay, as nothing tells which of them is which; without labels
+nothing is toxic; ties go to the smaller id; an empty table passes every stage and gives no rows;
+further columns are passed on up to the last stage.
 """
 
 from __future__ import annotations
