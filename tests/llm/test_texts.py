@@ -834,3 +834,25 @@ def test_pieces_of_very_long_texts_and_repeated_rows(documents):
     texts = ["long words here " * 40_000, "".join(rnd.choice("etaoin") for _ in range(5000)), "twice", "twice"]
     encoded = pieces.encode(documents([*texts, None]), pieces.read_model(MODEL)).collect()
     assert {r["doc_id"]: r["ids"] for r in encoded} == {i: library.encode(t) for i, t in enumerate([*texts, ""])}
+
+
+# --- the pipeline on odd tables
+
+
+def _run_pipeline(spark, tmp_path, docs):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+
+def test_pipeline_of_an_empty_table(spark, documents, tmp_path):
+    assert _run_pipeline(spark, tmp_path, documents([])) == []
+
+
+def test_pipeline_of_repeated_rows_and_nulls(spark, documents, tmp_path):
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = documents([(1, text), (1, text), (2, text), (None, text), (None, None), (3, None), (3, None), (4, "")])
+    lost = spark.createDataFrame([(5, None, None, None, None)], docs.schema)
+    rows = _run_pipeline(spark, tmp_path, docs.unionByName(lost).selectExpr("*", "1 component_id", "2 bucket"))
+    assert Counter(r["doc_id"] for r in rows) == {1: 2, None: 2, 3: 2, 4: 1, 5: 1}
+    assert {r["n_tokens"] for r in rows if r["doc_id"] == 1} == {80}
