@@ -15,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
     that is an error, as other machines do not see such a folder.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
     if not context.master.startswith("local"):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from monthlens import MonthParams, jobs
+from monthlens import MonthParams, jobs, storage
 from monthlens.operators import usersets as u
 from monthlens.operators.latest import usable_installs
 from monthlens.operators.ranks import client_ranks
@@ -305,3 +305,35 @@ def test_ranks_by_ranges_equal_a_window(spark, ranges):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == _rows(client_ranks(usable, small_bytes=1 << 62))
     assert client_ranks(usable.limit(0), small_bytes=-1).count() == 0
+
+
+# --- the shared folder
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, path):
+        self.folder = path
+
+
+class _Session:
+    """A session of another master, as far as the shared folder asks for it."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext, self.conf = _Context(master), conf
+
+
+def test_shared_folder_is_the_cluster_s():
+    named = {"spark.checkpoint.dir": "hdfs://somewhere/shared"}
+    for master in ("yarn", "spark://host:7077", "local[4]"):
+        assert storage.shared_folder(_Session(master, **named)) == "hdfs://somewhere/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(_Session("yarn"))
+    own = _Session("local[2]")
+    assert storage.shared_folder(own) == storage.shared_folder(own) == own.sparkContext.folder
+    assert storage.new_path(own, "x") != storage.new_path(own, "x")
